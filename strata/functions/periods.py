@@ -31,7 +31,7 @@ def is_period(p: str | Column) -> Column:
 def period_start(p: str | Column) -> Column:
     """First day of the period; null when the text is not a valid period."""
     c = col_(p)
-    return F.when(is_period(c), F.try_to_date(F.concat(c, F.lit("-01")), F.lit("yyyy-MM-dd")))
+    return F.when(is_period(c), F.try_to_date(F.concat(c, F.lit("-01")), "yyyy-MM-dd"))
 
 
 def previous_period(as_of: str | Column) -> Column:

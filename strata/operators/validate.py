@@ -49,6 +49,12 @@ class RulePack:
     derived: dict[str, F.Column] = field(default_factory=dict)
     key: Sequence[str] = ()
     null_safe_key: bool = False
+    pre: dict[str, F.Column] = field(default_factory=dict)
+
+
+def validate_pack(df: DataFrame, pack: RulePack) -> DataFrame:
+    """``validate`` with the pack's pre-computed columns added first."""
+    return validate(df.withColumns(pack.pre) if pack.pre else df, pack.rules, pack.lookups)
 
 
 def incremental(df: DataFrame, loaded_after: _dt.datetime | str | None, ts_col: str = "_loaded_at") -> DataFrame:

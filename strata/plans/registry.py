@@ -40,3 +40,16 @@ def pct_sql(part: str, total: str, scale: int = 4, unit: int = 1) -> str:
         f"CASE WHEN ({total}) = 0 THEN CAST(0 AS DECIMAL(10,{scale})) "
         f"ELSE CAST(CAST({q} AS DECIMAL(38,0)) / {10 ** scale} AS DECIMAL(10,{scale})) END"
     )
+
+
+def avg_sql(expr: str, in_scale: int, out_scale: int, out_type: str) -> str:
+    """DuckDB text for an exact HALF_UP decimal average of non-negative ``expr``.
+
+    ``expr`` has ``in_scale`` decimals; it is summed as an integer of
+    ``10^-in_scale`` units and divided with integer arithmetic, matching
+    Spark's decimal ``avg`` (which keeps more digits before its final rounding).
+    """
+    s = f"SUM(CAST(({expr}) * {10 ** in_scale} AS HUGEINT))"
+    n = f"COUNT({expr})"
+    q = f"((2 * {s} * {10 ** (out_scale - in_scale)} + {n}) // (2 * {n}))"
+    return f"CAST(CAST({q} AS DECIMAL(38,0)) / {10 ** out_scale} AS {out_type})"

@@ -92,3 +92,52 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "region_code",
         "service_segment",
     )
+
+
+def period_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with the ordering customer's operator/segment and the ship month."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_extendedprice", "l_tax", "l_discount", "l_quantity", "l_shipdate"
+    )
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    c = customers(spark, sf_dir).select("c_custkey", "operator_id", "service_segment")
+    return (
+        li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+        .join(c, F.col("o_custkey") == c.c_custkey, "inner")
+        .select(
+            "l_orderkey",
+            "l_linenumber",
+            money("l_extendedprice").alias("l_extendedprice"),
+            money("l_tax").alias("l_tax"),
+            money("l_discount").alias("l_discount"),
+            "l_quantity",
+            "l_shipdate",
+            period_of("l_shipdate").alias("report_period"),
+            "operator_id",
+            "service_segment",
+        )
+    )
+
+
+# Lifecycle states and how a driver event maps onto them (event_id modulo 4).
+EVENT_STATUSES = ("open", "acknowledged", "resolved", "false_positive")
+
+
+def event_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the user's operator/segment (left join: unknown users keep null keys)."""
+    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    c = customers(spark, sf_dir).select("c_custkey", "operator_id", "service_segment")
+    statuses = F.array(*[F.lit(s) for s in EVENT_STATUSES])
+    return e.join(c, e.user_id == c.c_custkey, "left").select(
+        "event_id",
+        "ts",
+        "user_id",
+        "event_type",
+        "value",
+        "props",
+        period_of("ts").alias("report_period"),
+        "operator_id",
+        "service_segment",
+        F.when(F.col("event_type") == "error", "critical").otherwise("warning").alias("severity"),
+        F.element_at(statuses, (F.col("event_id") % 4 + 1).cast("int")).alias("status"),
+    )
