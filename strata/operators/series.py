@@ -40,9 +40,16 @@ def spine_from(df: DataFrame, period_col: str = "report_period") -> DataFrame:
 
 
 def group_totals(df: DataFrame, group: Sequence[str], value: str, out: str) -> DataFrame:
-    """Attach ``sum(value)`` per group via aggregate + join (skew-proof, no window)."""
-    t = df.groupBy(*group).agg(F.sum(value).alias(out))
-    return df.join(t, list(group), "left") if group else df.crossJoin(F.broadcast(df.agg(F.sum(value).alias(out))))
+    """Attach ``sum(value)`` per group via aggregate + join (skew-proof, no window).
+
+    Without a group the grand total is one scalar: it is computed first and
+    added as a literal, so no single-partition window or cross join appears.
+    """
+    if group:
+        t = df.groupBy(*group).agg(F.sum(value).alias(out))
+        return df.join(t, list(group), "left")
+    total = df.agg(F.sum(value)).first()[0]
+    return df.withColumn(out, F.lit(total))
 
 
 def allocate(

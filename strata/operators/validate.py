@@ -65,7 +65,8 @@ def incremental(df: DataFrame, loaded_after: _dt.datetime | str | None, ts_col:
     """
     if loaded_after is None:
         return df
-    return df.filter(F.col(ts_col) >= F.lit(loaded_after).cast("timestamp"))
+    col_type = dict(df.dtypes).get(ts_col, "timestamp")
+    return df.filter(F.col(ts_col) >= F.lit(str(loaded_after)).cast(col_type))
 
 
 def validate(df: DataFrame, rules: Sequence[Rule], lookups: Sequence[DimLookup] = ()) -> DataFrame:

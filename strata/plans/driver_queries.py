@@ -38,9 +38,7 @@ def order_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    "market_share",
-    f"""
+_MARKET_SHARE_SQL = f"""
 WITH f AS ({_ORDER_FACTS_SQL}),
 k AS (
   SELECT report_period, operator_id, service_segment, COUNT(*) AS total_orders,
@@ -55,8 +53,10 @@ SELECT k.report_period, k.operator_id, k.service_segment, k.total_orders, k.tota
        {pct_sql('k.total_orders', 't.t_orders')} AS order_share_pct,
        {pct_sql('k.total_revenue', 't.t_revenue', unit=100)} AS revenue_share_pct
 FROM k JOIN t ON k.report_period = t.report_period AND k.service_segment = t.service_segment
-""",
-)
+"""
+
+
+@query("market_share", _MARKET_SHARE_SQL)
 def market_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of each operator in its (period, segment): orders and revenue."""
     return marts.add_shares(
