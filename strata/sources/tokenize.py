@@ -1,0 +1,39 @@
+"""CSV line tokenizer used inside Arrow batches (the only Python on the ingest path).
+
+Spark's own CSV reader takes one header for all files, but each landing file
+carries its own header (columns may be reordered, extra ones ignored). Lines
+are therefore read with the text source, split here with the standard CSV
+dialect (doubled quotes), and mapped to columns by name in the JVM.
+
+The module is registered for pickling by value, so executors need no copy
+of the package.
+"""
+
+from __future__ import annotations
+
+import csv
+import sys
+
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import types as T
+from pyspark.sql.functions import pandas_udf
+
+
+def _split_one(line: str | None) -> list[str] | None:
+    if line is None:
+        return None
+    try:
+        rows = list(csv.reader([line], strict=True))
+    except csv.Error:
+        return None
+    return rows[0] if rows else []
+
+
+@pandas_udf(T.ArrayType(T.StringType()))
+def split_csv_line(lines: pd.Series) -> pd.Series:
+    """One line -> its fields; null when the line is not well-formed CSV."""
+    return pd.Series([_split_one(x) for x in lines], dtype=object)
+
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
