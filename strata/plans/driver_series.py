@@ -52,7 +52,8 @@ def allocate_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     it by customer-count weights (floor), plus the exact weight share."""
     o = order_facts(spark, sf_dir)
     pn = o.groupBy("report_period", "operator_id").agg(F.count(F.lit(1)).alias("orders"))
-    pt = o.groupBy("report_period").agg(F.count(F.lit(1)).alias("period_total"))
+    # period totals roll up from the (period, operator) counts: no second pass over the facts
+    pt = pn.groupBy("report_period").agg(F.sum("orders").alias("period_total"))
     w = customers(spark, sf_dir).groupBy("operator_id").agg(F.count(F.lit(1)).alias("customers"))
     g = pn.join(pt, "report_period").join(bounded_broadcast(w), "operator_id")
     a = series.allocate(g, "period_total", "customers", ["report_period"], "allocated")
