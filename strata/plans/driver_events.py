@@ -289,3 +289,15 @@ def marked_perturbation(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get_json_object("_raw_payload", f"$.{events.MARKER_KEY}.code").alias("anomaly_code"),
         has_key("_raw_payload", events.MARKER_KEY).alias("has_marker"),
     )
+
+
+@query(
+    "event_breakdown",
+    f"""
+SELECT domain, event_code, severity, COUNT(*) AS events
+FROM ({_REGISTRY_SQL}) r GROUP BY domain, event_code, severity
+""",
+)
+def event_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by (domain, code, severity)."""
+    return registry(spark, sf_dir).groupBy("domain", "event_code", "severity").agg(F.count(F.lit(1)).alias("events"))

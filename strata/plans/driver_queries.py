@@ -196,3 +196,37 @@ def regulator_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kpis_union_form(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M01 rewritten as one union + groupBy (one shuffle instead of one per join)."""
     return _kpis(spark, sf_dir, "union")
+
+
+# --- M11: dashboard slice ----------------------------------------------------------
+
+DASHBOARD_SEGMENTS = ("AUTOMOBILE", "MACHINERY")
+
+
+@query(
+    "dashboard_trends",
+    f"""
+WITH k AS ({_KPI_SQL})
+SELECT report_period, service_segment,
+       CAST(SUM(total_revenue_xaf) AS DECIMAL(38,2)) AS revenue,
+       CAST(SUM(total_subscribers) AS BIGINT) AS subscribers,
+       CAST(SUM(open_quality_events) AS BIGINT) AS open_events,
+       CAST(COUNT(*) AS BIGINT) AS operators
+FROM k WHERE service_segment IN ({", ".join(repr(s) for s in DASHBOARD_SEGMENTS)})
+GROUP BY report_period, service_segment
+""",
+)
+def dashboard_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue / subscriber / event trends for a segment filter over the KPI mart."""
+    k = _kpis(spark, sf_dir, "union")
+    return marts.dashboard_slice(
+        k,
+        ["report_period", "service_segment"],
+        {
+            "revenue": F.sum("total_revenue_xaf").cast("decimal(38,2)"),
+            "subscribers": F.sum("total_subscribers").cast("bigint"),
+            "open_events": F.sum("open_quality_events").cast("bigint"),
+            "operators": F.count(F.lit(1)).cast("bigint"),
+        },
+        {"service_segment": DASHBOARD_SEGMENTS},
+    )
