@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm import quality
+from strata.llm import decontaminate, packing, quality, simhash, urls
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +30,35 @@ def op6_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.line_first(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@_query("op7_decontamination", decontaminate.ORACLE)
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+URL_RULES = [
+    urls.Rule("block", "net", "/"),
+    urls.Rule("allow", "example.net", "/en/"),
+    urls.Rule("block", "example.com", "/de/"),
+    urls.Rule("allow", "org", "/fr/"),
+]
+
+
+@_query("op10_url_filter")
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@_query("op1_best_fit_packing")
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(table(spark, sf_dir, "documents"))
+    crc = F.crc32("ids").cast("long").alias("ids_crc32")
+    return packing.pack(cut.select("doc_id", "piece", "start", "length", crc))
+
+
+@_query("op2_simhash")
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
