@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, packing, quality, simhash, urls
+from strata.llm import decontaminate, html_extract, packing, quality, simhash, substring, suffix_array, urls
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,19 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@_query("op4_substring_dedup")
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@_query("op8_suffix_dedup")
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array.digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@_query("op3_html_extraction")
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract(pages, html_extract.train(pages))

@@ -28,7 +28,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import Scratch, first_per_task, mix64, text_keys
@@ -41,7 +41,7 @@ SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 _POWERS: dict[str, np.ndarray] = {}
 
-SPANS = "g long, h long, k1 long, k2 long, a long, left int, n int, level int, body binary"
+SPANS = "g long, k1 long, k2 long, a long, left int, n int, level int, body binary"
 
 
 @dataclass(frozen=True)
@@ -240,8 +240,7 @@ def spans(found: DataFrame, kind: Kind) -> DataFrame:
                         c.append(v)
             yield _span_batch(out)
 
-    schema = "g long, k1 long, k2 long, a long, left int, n int, level int, body binary"
-    return found.select("k1", "k2", F.col("text").cast("binary").alias("text"), "marks").mapInArrow(run, schema)
+    return found.select("k1", "k2", "text", "marks").mapInArrow(run, SPANS)
 
 
 SPAN_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
@@ -284,7 +283,7 @@ def sort_groups(rows: DataFrame, kind: Kind, sorter: Sorter) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, group, over = Shard(), None, False
         pending: Shard = Shard()  # the group that is being read
-        last = None  # (left, n, body, rows already sent as repeated)
+        last, last_row, last_sent = None, None, False  # the span read last, where it is, whether it was reported
         found: list[tuple] = []
         deferred: list[list] = [[] for _ in range(8)]
 
@@ -313,7 +312,7 @@ def sort_groups(rows: DataFrame, kind: Kind, sorter: Sorter) -> DataFrame:
         def close_group():
             nonlocal pending, last
             if len(pending.bodies) > 1:
-                number = len(shard.group) and shard.group[-1] + 1
+                number = shard.group[-1] + 1 if shard.group else 0
                 shard.group += [number] * len(pending.bodies)
                 shard.left += pending.left
                 shard.n += pending.n
@@ -337,15 +336,16 @@ def sort_groups(rows: DataFrame, kind: Kind, sorter: Sorter) -> DataFrame:
                     group, over = g, False
                     if shard.size > kind.shard_bytes:
                         close_shard()
-                if last is not None and last[:3] == (left, n, body):  # the same span again: all its windows repeat
-                    if (k1, k2, a) == last[3]:
+                if last == (left, n, body):  # the same span again: all its windows repeat
+                    if (k1, k2, a) == last_row:
                         continue  # the same place, read twice
-                    if not last[4]:
-                        found.append((*last[3], last[3][2] + n - 1 + kind.window))
-                        last[4] = True
+                    if not last_sent:
+                        found.append((*last_row, last_row[2] + n - 1 + kind.window))
+                        last_sent = True
                     found.append((k1, k2, a, a + n - 1 + kind.window))
+                    last_row = (k1, k2, a)
                     continue
-                last = _Last((left, n, body, (k1, k2, a), False))
+                last, last_row, last_sent = (left, n, body), (k1, k2, a), False
                 if over:
                     defer(g, k1, k2, a, left, n, level, body)
                     continue
@@ -369,15 +369,7 @@ def sort_groups(rows: DataFrame, kind: Kind, sorter: Sorter) -> DataFrame:
         yield from flush_deferred()
 
     placed = rows.withColumn("h", F.xxhash64("body")).repartition("g").sortWithinPartitions("g", "left", "n", "h", "k1", "k2", "a")
-    return placed.select(*SPAN_NAMES).mapInArrow(run, "g long, k1 long, k2 long, a long, left int, n int, level int, body binary, e long")
-
-
-class _Last(list):
-    """The span read last, comparable to a tuple on its first three fields."""
-
-    def __getitem__(self, i):
-        v = super().__getitem__(i)
-        return tuple(v) if isinstance(i, slice) else v
+    return placed.select(*SPAN_NAMES).mapInArrow(run, SPANS + ", e long")
 
 
 def narrow(rows: DataFrame, kind: Kind) -> DataFrame:
@@ -405,18 +397,17 @@ def narrow(rows: DataFrame, kind: Kind) -> DataFrame:
                         c.append(v)
             yield _span_batch(out)
 
-    return rows.mapInArrow(run, "g long, k1 long, k2 long, a long, left int, n int, level int, body binary")
+    return rows.mapInArrow(run, SPANS)
 
 
-def changed_texts(docs: DataFrame, kind: Kind, sorter: Sorter, units: str, scratch: Scratch) -> DataFrame:
-    """(k1, k2, spans, text) of each distinct text with something to remove.
+def changed_texts(docs: DataFrame, kind: Kind, sorter: Sorter, scratch: Scratch) -> DataFrame:
+    """(k1, k2, spans, text) of each distinct text that may lose something.
 
-    ``spans``: sorted, disjoint (s, e) token ranges. ``units``: SQL expression
-    for the number of tokens of ``text``. A text with copies goes whole if it has a window; its
-    ``text`` is then null, as nothing is left of it.
+    ``spans``: sorted (s, e) token ranges to remove. A text with exact copies has
+    null ``spans`` and ``text``: all of it goes if it is as long as a window.
     """
-    keyed = docs.select(*text_keys(F.col("text")), F.coalesce("text", F.lit("")).alias("text"))
-    texts = first_per_task(keyed.withColumn("text", F.col("text").cast("binary")))
+    keyed = docs.select(*text_keys(F.col("text")), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    texts = first_per_task(keyed)
     found = repeated(sample(texts, kind))
     marks = found.groupBy("k1", "k2").agg(F.collect_list(F.struct("g", "x", "a", "b")).alias("marks"))
     candidates = scratch.save(first_per_task(texts.join(marks, ["k1", "k2"])))
@@ -430,11 +421,10 @@ def changed_texts(docs: DataFrame, kind: Kind, sorter: Sorter, units: str, scrat
             break
         rows = narrow(again, kind)
     merged = ranges.groupBy("k1", "k2").agg(F.array_sort(F.collect_set(F.struct("s", "e"))).alias("spans"))
-    copies = keyed.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.first(F.expr(units)).alias("units"))
-    whole = copies.where((F.col("n") > 1) & (F.col("units") >= kind.window))
-    whole = whole.select("k1", "k2", F.array(F.struct(F.lit(0).cast("long").alias("s"), F.col("units").cast("long").alias("e"))).alias("spans"), F.lit(None).cast("binary").alias("text"))
-    whole = scratch.save(whole)
-    parts = merged.join(whole, ["k1", "k2"], "left_anti").join(candidates.select("k1", "k2", "text").dropDuplicates(["k1", "k2"]), ["k1", "k2"])
+    copies = scratch.save(keyed.groupBy("k1", "k2").agg(F.count("*").alias("copies")).where("copies > 1").select("k1", "k2"))
+    own_text = candidates.select("k1", "k2", "text").dropDuplicates(["k1", "k2"])
+    parts = merged.join(copies, ["k1", "k2"], "left_anti").join(own_text, ["k1", "k2"])
+    whole = copies.select("k1", "k2", F.lit(None).cast("array<struct<s:bigint,e:bigint>>").alias("spans"), F.lit(None).cast("binary").alias("text"))
     return parts.select("k1", "k2", "spans", "text").unionByName(whole)
 
 
@@ -447,3 +437,47 @@ def union_spans(pairs: list[tuple[int, int]]) -> list[list[int]]:
         else:
             out.append([s, e])
     return out
+
+
+CHANGED = "k1 long, k2 long, n_removed long, spans array<struct<s:long,e:long>>, kept binary"
+SPAN_LIST = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
+
+
+def without(tokens, ranges: list[list[int]]) -> list:
+    """What is left of ``tokens`` between the removed ranges."""
+    parts, at = [], 0
+    for s, e in ranges:
+        parts.append(tokens[at:s])
+        at = e
+    return [*parts, tokens[at:]]
+
+
+def _joined(rows: DataFrame, changed: DataFrame, n: Column, window: int) -> tuple[DataFrame, Column, Column]:
+    """``rows`` beside their text's change: (frame, whether a part goes, whether all goes)."""
+    out = rows.join(changed.withColumn("hit", F.lit(True)), ["k1", "k2"], "left")
+    part = F.col("hit").isNotNull() & F.col("n_removed").isNotNull()
+    return out, part, F.col("hit").isNotNull() & F.col("n_removed").isNull() & (n >= window)
+
+
+def applied(docs: DataFrame, changed: DataFrame, n: Column, whole: Column, window: int) -> DataFrame:
+    """All rows and columns of ``docs`` with n_removed, spans and kept."""
+    added = ("k1", "k2", "hit", "n_removed", "spans", "kept")
+    own = [c for c in docs.columns if c not in added]
+    out, part, everything = _joined(docs.select(*own, *text_keys(F.col("text"))), changed, n, window)
+    all_of_it = F.array(F.struct(F.lit(0).cast("long").alias("s"), n.cast("long").alias("e")))
+    return out.select(
+        *own,
+        F.when(everything, n.cast("long")).when(part, F.col("n_removed")).otherwise(F.lit(0).cast("long")).alias("n_removed"),
+        F.when(everything, all_of_it).when(part, F.col("spans")).otherwise(F.array().cast("array<struct<s:bigint,e:bigint>>")).alias("spans"),
+        F.when(everything, F.lit(b"")).when(part, F.col("kept")).otherwise(whole).alias("kept"))
+
+
+def digested(rows: DataFrame, changed: DataFrame, n: str, window: int) -> DataFrame:
+    """``rows`` (k1, k2, ``n`` tokens, sha of the whole) with n_removed, n_spans and kept_sha256."""
+    less = changed.select("k1", "k2", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha"))
+    out, part, everything = _joined(rows, less, F.col(n), window)
+    nothing, zero = F.sha2(F.lit(b""), 256), F.lit(0).cast("long")
+    return out.withColumns({
+        "kept_sha256": F.when(everything, nothing).when(part, F.col("kept_sha")).otherwise(F.col("sha")),
+        "n_spans": F.when(everything, F.lit(1).cast("long")).when(part, F.col("n_spans")).otherwise(zero),
+        "n_removed": F.when(everything, F.col(n)).when(part, F.col("n_removed")).otherwise(zero)})

@@ -1,0 +1,7 @@
+"""Session of the suite, reached from this folder."""
+
+import os
+import sys
+
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
