@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, html_extract, packing, quality, simhash, substring, suffix_array, urls
+from strata.llm import decontaminate, html_extract, packing, quality, quotes, sharding, simhash, substring, suffix_array, urls
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,13 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_extract.extract(pages, html_extract.train(pages))
+
+
+@_query("op5_extendible_shards", sharding.ORACLE)
+def op5_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@_query("op9_quotation_threads")
+def op9_quotation_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
