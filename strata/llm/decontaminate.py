@@ -78,7 +78,8 @@ def contained(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> Data
         hits = hits.groupBy("doc_id", "k", "item_id", "need").agg(F.count("*").alias("n")).where("n >= need").select("doc_id", "k", "item_id")
         pairs = hits if pairs is None else pairs.unionByName(hits)
     if pairs is None:
-        return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, n_item_shingles int, n_shared long, containment double")
+        item = F.lit(None).cast(items.schema["item_id"].dataType).alias("item_id")
+        return keyed.limit(0).select("doc_id", item, *[F.lit(0).cast(t).alias(c) for c, t in (("n_item_shingles", "int"), ("n_shared", "long"), ("containment", "double"))])
     pairs = scratch.save(pairs)
     wanted = pairs.select("doc_id", "k").distinct()
     own = keyed.alias("d").join(wanted.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.k") == F.col("c.k")), "left_semi")

@@ -97,7 +97,19 @@ def induced(s: Shard, kind: Kind) -> list[np.ndarray]:
 BYTES = Kind(window=WINDOW, gram=GRAM, words=False)
 
 
-def changed(docs: DataFrame, kind: Kind = BYTES) -> DataFrame:
+def to_characters(text: bytes, ranges: list[list[int]]) -> list[list[int]]:
+    """Ranges widened to whole UTF-8 characters."""
+    out = []
+    for s, e in ranges:
+        while s and text[s] & 0xC0 == 0x80:
+            s -= 1
+        while e < len(text) and text[e] & 0xC0 == 0x80:
+            e += 1
+        out.append((s, e))
+    return union_spans(out)
+
+
+def changed(docs: DataFrame, kind: Kind = BYTES, whole_characters: bool = False) -> DataFrame:
     """(k1, k2, n_removed, spans, kept): texts that lose bytes, by the key of their text.
 
     All three are null for a text with exact copies: it goes whole if it has a window.
@@ -113,6 +125,8 @@ def changed(docs: DataFrame, kind: Kind = BYTES) -> DataFrame:
                         c.append(None)
                     continue
                 ranges = union_spans([(p["s"], p["e"]) for p in pairs])
+                if whole_characters:
+                    ranges = to_characters(text, ranges)
                 spans.append([{"s": s, "e": e} for s, e in ranges])
                 kept.append(b"".join(without(text, ranges)))
                 removed.append(sum(e - s for s, e in ranges))
@@ -123,13 +137,14 @@ def changed(docs: DataFrame, kind: Kind = BYTES) -> DataFrame:
     return rows.mapInArrow(run, CHANGED)
 
 
-def deduplicate(docs: DataFrame, kind: Kind = BYTES) -> DataFrame:
+def deduplicate(docs: DataFrame, kind: Kind = BYTES, whole_characters: bool = False) -> DataFrame:
     """All rows of ``docs`` with n_removed, spans (byte ranges) and ``kept`` (the remaining bytes).
 
-    Cuts may fall inside a character; ``kept`` is therefore binary.
+    Cuts may fall inside a character, so ``kept`` is binary; with ``whole_characters``
+    they are widened and it is valid UTF-8.
     """
     text = F.coalesce("text", F.lit(""))
-    return applied(docs, changed(docs, kind), F.octet_length(text), text.cast("binary"), kind.window)
+    return applied(docs, changed(docs, kind, whole_characters), F.octet_length(text), text.cast("binary"), kind.window)
 
 
 def digest(docs: DataFrame, kind: Kind = BYTES) -> DataFrame:
