@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import os
+import shutil
+import tempfile
 import uuid
 import weakref
 from collections.abc import Callable, Iterator
@@ -19,7 +22,22 @@ from strata.session import shared_scratch
 WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once a session: workers need not have it installed."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        _SHIPPED.add(sc.applicationId)
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        folder = tempfile.mkdtemp(prefix="strata-ship-")  # the driver's own; Spark serves the archive from here
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        sc.addPyFile(shutil.make_archive(f"{folder}/strata-{sc.applicationId}", "zip", root, "strata"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
