@@ -26,20 +26,18 @@ def json_text(c: str | Column, path: str) -> Column:
     return F.get_json_object(col_(c), path)
 
 
-def json_string_array(c: str | Column, path: str) -> Column:
-    """Array of strings at a JSON path; null when absent."""
-    return F.from_json(F.get_json_object(col_(c), path), "array<string>")
-
-
 def json_count_map(c: str | Column) -> Column:
     """Parse a ``{"name": count}`` object into ``map<string,bigint>``."""
     return F.from_json(col_(c), "map<string,bigint>")
 
 
 def merge_json_objects(left: str | Column, right: str | Column) -> Column:
-    """Shallow merge of two JSON objects, right-hand keys winning (JSONB ``||``)."""
-    lm = F.coalesce(F.from_json(col_(left), "map<string,string>"), F.create_map().cast("map<string,string>"))
-    rm = F.coalesce(F.from_json(col_(right), "map<string,string>"), F.create_map().cast("map<string,string>"))
+    """Shallow merge of two JSON objects, right-hand keys winning (JSONB ``||``).
+
+    Values are carried as VARIANT, so numbers, objects and nulls keep their type.
+    """
+    as_map = lambda c: F.coalesce(F.from_json(col_(c), "map<string,variant>"), F.from_json(F.lit("{}"), "map<string,variant>"))
+    lm, rm = as_map(left), as_map(right)
     # keep left entries whose key is not overridden, then all right entries
     kept = F.map_filter(lm, lambda k, _v: ~F.array_contains(F.map_keys(rm), k))
-    return F.to_json(F.map_concat(kept, rm))
+    return F.to_json(F.map_concat(kept, rm), {"ignoreNullFields": "false"})

@@ -58,11 +58,6 @@ def period_in_future(p: str | Column, as_of: str | _dt.date) -> Column:
     return is_period(c) & (period_start(c) > F.add_months(F.to_date(F.lit(str(as_of))), 1))
 
 
-def months_between_periods(start: str | Column, end: str | Column) -> Column:
-    """Whole months from ``start`` to ``end`` (both ``YYYY-MM``)."""
-    return F.months_between(period_start(end), period_start(start)).cast("int")
-
-
 def period_progress(p: str | Column, first: str, last: str) -> Column:
     """Linear position of a period inside ``[first, last]`` in 0..1."""
     span = F.months_between(period_start(F.lit(last)), period_start(F.lit(first)))

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ids import stable_id
-from .joins import bounded_broadcast
 
 # Default thresholds and routing policy.
 DEFAULT_THRESHOLDS = (
@@ -50,7 +49,6 @@ def evaluate_alerts(thresholds: DataFrame, events: DataFrame, period: str | None
         e = e.filter(F.col("report_period") == F.lit(period))
     counted = e.groupBy("domain", "severity", "report_period").agg(F.count("event_id").alias("event_count"))
     t = thresholds.filter(F.col("enabled")).select("domain", "severity", "event_count_threshold")
-    counted = bounded_broadcast(counted) if period is not None else counted
     j = t.join(counted, ["domain", "severity"], "left")
     out = j.select(
         F.lit(ALERT_CODE).alias("alert_code"),
@@ -60,7 +58,7 @@ def evaluate_alerts(thresholds: DataFrame, events: DataFrame, period: str | None
         F.coalesce(F.col("event_count"), F.lit(0)).cast("bigint").alias("event_count"),
         F.col("event_count_threshold").alias("threshold_value"),
     )
-    return out.filter(F.col("event_count") >= F.col("threshold_value"))
+    return out.filter(F.col("event_count") >= F.col("threshold_value")).orderBy("domain", "severity", "report_period")
 
 
 def routing_df(spark: SparkSession) -> DataFrame:
@@ -74,4 +72,4 @@ def route_alerts(alerts: DataFrame, routing: DataFrame) -> DataFrame:
         F.max(F.struct("event_count", "severity", "threshold_value")).alias("_a")
     )
     deduped = best.select("alert_code", "domain", "report_period", "_a.severity", "_a.event_count", "_a.threshold_value")
-    return deduped.join(bounded_broadcast(routing), "severity", "left")
+    return deduped.join(routing, "severity", "left")

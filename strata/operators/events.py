@@ -111,7 +111,7 @@ def metric_name_of(code: str | Column, names: Sequence[tuple[str, str]] = METRIC
 def metadata_json(code: Column, changed_fields: Column, payload: Column) -> Column:
     """``{source, anomaly_code, changed_fields (default []), raw_payload}`` as JSON.
 
-    Nested JSON is carried as VARIANT so it is embedded, not re-quoted.
+    Nested JSON is carried as VARIANT so it is embedded, not re-quoted; a null member stays as one.
     """
     return F.to_json(
         F.struct(
@@ -119,7 +119,8 @@ def metadata_json(code: Column, changed_fields: Column, payload: Column) -> Colu
             code.alias("anomaly_code"),
             F.coalesce(F.try_parse_json(changed_fields), F.parse_json(F.lit("[]"))).alias("changed_fields"),
             F.try_parse_json(payload).alias("raw_payload"),
-        )
+        ),
+        {"ignoreNullFields": "false"},
     )
 
 

@@ -1,8 +1,8 @@
-"""Join helpers: size-checked broadcast, null-safe key matching, N-way outer merge.
+"""Join helpers: dimension lookups, null-safe key matching, N-way outer merge.
 
-Broadcast is only used behind an explicit row bound: the side is probed with
-``limit(bound + 1).count()`` and falls back to a normal (shuffle) join when it
-is larger. Reference dimensions are tiny, but nothing here assumes it.
+No join is hinted: Spark broadcasts a side while its bytes are under the
+threshold, adaptive execution decides again from what a side really holds, and
+a larger side is shuffled.
 """
 
 from __future__ import annotations
@@ -13,21 +13,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension (in rows) that may be shipped to every executor.
-BROADCAST_ROW_BOUND = 100_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_BOUND) -> DataFrame:
-    """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
-
-    The probe reads at most ``max_rows + 1`` rows, so it stays cheap even when
-    the side turns out to be large.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def key_condition(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool = False) -> Column:
     """Conjunction of key equalities; ``<=>`` when nulls must match each other."""
     parts = [left[k].eqNullSafe(right[k]) if null_safe else left[k] == right[k] for k in keys]
@@ -41,16 +26,16 @@ def lookup(
     right_key: str,
     columns: Sequence[str] = (),
     prefix: str = "dim_",
-    max_rows: int = BROADCAST_ROW_BOUND,
+    unique: bool = True,
 ) -> DataFrame:
     """Left join a dimension, adding ``{prefix}{right_key}`` (null = not found) and columns.
 
-    The dimension is projected to the needed columns and de-duplicated on its
-    key first so the lookup can never multiply fact rows.
+    ``right_key`` is the dimension's key. Where it may repeat, ``unique=False``
+    de-duplicates it first (a shuffle), so that the lookup never multiplies rows.
     """
     wanted = [right_key, *[c for c in columns if c != right_key]]
-    side = dim.select(*[F.col(c).alias(prefix + c) for c in wanted]).dropDuplicates([prefix + right_key])
-    side = bounded_broadcast(side, max_rows)
+    side = dim.select(*[F.col(c).alias(prefix + c) for c in wanted])
+    side = side if unique else side.dropDuplicates([prefix + right_key])
     return df.join(side, df[left_key] == side[prefix + right_key], "left")
 
 

@@ -140,11 +140,6 @@ def clamp(c: str | Column, lo: float, hi: float) -> Column:
     return F.least(F.greatest(col_(c), F.lit(lo)), F.lit(hi))
 
 
-def normalise(df: DataFrame, value: str, group: Sequence[str], out: str = "share", scale: int = 6) -> DataFrame:
-    """Shares inside a group summing to 1 (exact decimal)."""
-    return weights(df, value, group, out, scale)
-
-
 def drop_small(df: DataFrame, value: str, threshold: float) -> DataFrame:
     """Keep cells whose value reaches the threshold."""
     return df.filter(F.col(value) >= F.lit(threshold))
@@ -165,15 +160,6 @@ def round_value_share(df: DataFrame, group: Sequence[str], value: str) -> DataFr
     return g.withColumn("round_share_pct", F.when(F.col("values") == 0, None).otherwise(share).cast("decimal(10,4)"))
 
 
-def linear_progress(period: str | Column, start_year: int, end_year: int) -> Column:
-    """Months elapsed since ``start_year``-01 over the span to ``end_year``-12, 0..1."""
-    p = col_(period)
-    y, m = F.substring(p, 1, 4).cast("int"), F.substring(p, 6, 2).cast("int")
-    total = (end_year - start_year + 1) * 12
-    elapsed = (y - start_year) * 12 + m - 1
-    return elapsed.cast("double") / F.lit(float(max(total - 1, 1)))
-
-
 def operators_for_segment(operators: DataFrame, segment: str) -> DataFrame:
     """Operators licensed for a segment."""
     return operators.filter(F.array_contains("service_segments", segment))

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import series
-from ..operators.joins import bounded_broadcast
 from .driver_queries import _ORDER_FACTS_SQL, order_kpis
 from .registry import pct_sql, query
 from .tables import customers, order_facts, period_facts
@@ -55,7 +54,7 @@ def allocate_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     # period totals roll up from the (period, operator) counts: no second pass over the facts
     pt = pn.groupBy("report_period").agg(F.sum("orders").alias("period_total"))
     w = customers(spark, sf_dir).groupBy("operator_id").agg(F.count(F.lit(1)).alias("customers"))
-    g = pn.join(pt, "report_period").join(bounded_broadcast(w), "operator_id")
+    g = pn.join(pt, "report_period").join(w, "operator_id")
     a = series.allocate(g, "period_total", "customers", ["report_period"], "allocated")
     out = series.weights(a, "customers", ["report_period"], "weight_share", 6)
     return out.select("report_period", "operator_id", "orders", "period_total", "customers", "allocated", "weight_share")
@@ -154,7 +153,7 @@ def small_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = order_kpis(spark, sf_dir).select("report_period", "operator_id", "service_segment", "total_orders")
     kept = series.drop_small(k, "total_orders", SMALL_CELL_MIN)
     c = kept.withColumn("clamped_orders", series.clamp("total_orders", CLAMP_LO, CLAMP_HI).cast("bigint"))
-    return series.normalise(c, "total_orders", ["report_period", "service_segment"], "order_share", 6)
+    return series.weights(c, "total_orders", ["report_period", "service_segment"], "order_share", 6)
 
 
 _FACTS_LINE_SQL = """

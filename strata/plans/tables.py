@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.periods import period_of
-from ..operators.joins import bounded_broadcast
 
 TABLES = (
     "region",
@@ -37,10 +36,6 @@ TABLES = (
     "conversations",
 )
 
-# Bounds used before broadcasting the driver dimensions (TPC-H fixes them at 25 / 5).
-NATION_BOUND = 1_000
-REGION_BOUND = 1_000
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -51,12 +46,10 @@ def money(c: str) -> F.Column:
 
 
 def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nation with its region name, size-checked for broadcast."""
+    """Nation with its region name."""
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    r = bounded_broadcast(table(spark, sf_dir, "region").select("r_regionkey", "r_name"), REGION_BOUND)
-    return bounded_broadcast(
-        n.join(r, n.n_regionkey == r.r_regionkey, "left").select("n_nationkey", "n_name", "r_name"), NATION_BOUND
-    )
+    r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    return n.join(r, n.n_regionkey == r.r_regionkey, "left").select("n_nationkey", "n_name", "r_name")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:

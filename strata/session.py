@@ -24,9 +24,14 @@ DEFAULTS: dict[str, str] = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Fill in library defaults that the running session leaves unset."""
+    """Fill in library defaults that the platform's configuration leaves unset.
+
+    Spark's own default of a key does not count as set: without this the
+    session time zone would be the machine's.
+    """
+    given = spark.sparkContext.getConf()
     for key, value in DEFAULTS.items():
-        if spark.conf.get(key, None) in (None, ""):
+        if not given.contains(key) and spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
 
@@ -55,8 +60,9 @@ def local_session(app: str = "strata", cores: str = "*", shuffle_partitions: int
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster names a shared folder there; only when it is unset (local
-    tests) a scratch folder is created and registered.
+    The cluster names a shared folder there. Only in a local session, where
+    driver and executors are one process, a scratch folder is created when it
+    is unset; anywhere else that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -66,6 +72,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="strata-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -99,7 +99,6 @@ def test_period_status_and_decisions(spark):
     assert (st["2025-01"].period_status, st["2025-01"].action) == ("loaded", "skip")
     assert st["2025-02"].period_status == "partial" and st["2025-02"].reason.endswith("domains a")
     assert (st["2025-03"].period_status, st["2025-03"].action) == ("empty", "proceed")
-    assert audit.generation_parameters("2025-03", {}) == (0.0, 202503)
 
 
 def test_run_health_labels(spark):
