@@ -228,21 +228,32 @@ def spans(found: DataFrame, kind: Kind) -> DataFrame:
     """One row per repeated anchor: its group, its windows and their tokens (words joined by a space)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for k1, k2, text, marks in rows_of(batches):
+            units = text.split() if kind.words else text
             out: list[list] = [[] for _ in range(8)]
-            for k1, k2, text, marks in zip(*[c.to_pylist() for c in b.columns]):
-                units = text.split() if kind.words else text
-                for m in marks:
-                    a, z = m["a"], m["b"]
-                    body = units[a : z + kind.window]
-                    row = (m["g"], k1, k2, a, m["x"] - a, z - a + 1, 0, b" ".join(body) if kind.words else body)
-                    for c, v in zip(out, row):
-                        c.append(v)
-            yield _span_batch(out)
+            for m in marks:
+                a, z = m["a"], m["b"]
+                body = units[a : z + kind.window]
+                row = (m["g"], k1, k2, a, m["x"] - a, z - a + 1, 0, b" ".join(body) if kind.words else body)
+                for c, v in zip(out, row):
+                    c.append(v)
+                if len(out[0]) == FLUSH:
+                    yield _span_batch(out)
+                    out = [[] for _ in range(8)]
+            if out[0]:
+                yield _span_batch(out)
 
     return found.select("k1", "k2", "text", "marks").mapInArrow(run, SPANS)
 
 
+def rows_of(batches: Iterator[pa.RecordBatch], step: int = 64) -> Iterator[tuple]:
+    """Rows as Python values, a few at a time: a batch's texts and marks are never all unpacked."""
+    for b in batches:
+        for k in range(0, b.num_rows, step):
+            yield from zip(*[c.to_pylist() for c in b.slice(k, step).columns])
+
+
+FLUSH = 4096
 SPAN_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
 SPAN_NAMES = ["g", "k1", "k2", "a", "left", "n", "level", "body"]
 

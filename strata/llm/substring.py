@@ -91,7 +91,7 @@ def subtrees(s: Shard, kind: Kind) -> list[np.ndarray]:
     return np.split(hit, first[1:])
 
 
-WORDS = Kind(window=WINDOW, gram=GRAM, words=True)
+WORDS = Kind(window=WINDOW, gram=GRAM, words=True, shard_bytes=2 << 20)
 N_WORDS = "size(filter(split(coalesce(text, ''), '[\\\\x20\\\\x09-\\\\x0D]+'), w -> w != ''))"
 
 
@@ -103,7 +103,7 @@ def changed(docs: DataFrame, kind: Kind = WORDS) -> DataFrame:
     rows = changed_texts(docs, kind, subtrees, Scratch(docs.sparkSession, "substrings"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (x.slice(k, 256) for x in batches for k in range(0, x.num_rows, 256)):
             spans, kept, removed = [], [], []
             for pairs, text in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
                 if pairs is None:

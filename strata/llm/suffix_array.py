@@ -117,7 +117,7 @@ def changed(docs: DataFrame, kind: Kind = BYTES, whole_characters: bool = False)
     rows = changed_texts(docs, kind, induced, Scratch(docs.sparkSession, "suffixes"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (x.slice(k, 256) for x in batches for k in range(0, x.num_rows, 256)):
             spans, kept, removed = [], [], []
             for pairs, text in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
                 if pairs is None:
