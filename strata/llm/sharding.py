@@ -93,11 +93,11 @@ def assign(docs: DataFrame, key: str = "doc_id", text: str = "text", limit: int
 
 
 def write_shards(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", limit: int = LIMIT) -> None:
-    """Writes the rows under ``path``, one folder a shard. A shard fits a task, as its bytes are bounded."""
+    """Writes the rows under ``path``, one folder a shard (``shard=b<bits>``). A shard fits a task, as its bytes are bounded."""
     scratch = Scratch(docs.sparkSession, "sharding-write")
     numbered = scratch.save(docs.withColumn("__n", F.monotonically_increasing_id()))
     placed = assign(numbered.select("__n", key, text), key, text, limit).select("__n", "shard")
-    numbered.join(placed, "__n").drop("__n").repartition("shard").write.partitionBy("shard").parquet(path)
+    numbered.join(placed, "__n").drop("__n").withColumn("shard", F.concat(F.lit("b"), "shard")).repartition("shard").write.partitionBy("shard").parquet(path)
 
 
 ORACLE = f"""
