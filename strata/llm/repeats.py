@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import Scratch, first_per_task, mix64, text_keys
 
+SLICE = 512  # texts unpacked at a time
 BLOCK = 1 << 20  # bytes hashed at a time, so memory does not follow the length of a text
 INDEX_BITS = np.uint64((1 << 24) - 1)
 MULTIPLIER, INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
@@ -51,8 +52,8 @@ class Kind:
     window: int
     gram: int
     words: bool
-    shard_bytes: int = 8 << 20
-    group_bytes: int = 32 << 20
+    shard_bytes: int = 4 << 20
+    group_bytes: int = 16 << 20
 
     @property
     def offsets(self) -> int:
@@ -183,11 +184,15 @@ def long_text(t: bytes, i: int, kind: Kind) -> Iterator[tuple[np.ndarray, np.nda
 
 
 def sample(texts: DataFrame, kind: Kind) -> DataFrame:
-    """(k1, k2, g, x, a, b): the anchors of all texts."""
+    """(k1, k2, g, x, a, b): the anchors of all texts; a text that comes again in a task is passed over."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            bodies = [t.as_py() or b"" for t in b.column(2)]
+        seen: set[tuple[int, int]] = set()
+        for b in (x.slice(k, SLICE) for x in batches for k in range(0, x.num_rows, SLICE)):
+            keys, bodies = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist())), []
+            for key, t in zip(keys, b.column(2)):
+                bodies.append(b"" if key in seen else t.as_py() or b"")
+                seen.add(key)
             for values, lengths, first, before in text_blocks(bodies, kind):
                 t, g, x, a, z = anchors(values, lengths, kind)
                 if len(t):
@@ -418,10 +423,9 @@ def changed_texts(docs: DataFrame, kind: Kind, sorter: Sorter, scratch: Scratch)
     null ``spans`` and ``text``: all of it goes if it is as long as a window.
     """
     keyed = docs.select(*text_keys(F.col("text")), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    texts = first_per_task(keyed)
-    found = repeated(sample(texts, kind))
+    found = repeated(sample(keyed, kind))
     marks = found.groupBy("k1", "k2").agg(F.collect_list(F.struct("g", "x", "a", "b")).alias("marks"))
-    candidates = scratch.save(first_per_task(texts.join(marks, ["k1", "k2"])))
+    candidates = scratch.save(first_per_task(first_per_task(keyed).join(marks, ["k1", "k2"])))
     rows, ranges = spans(candidates, kind), None
     while True:
         level = scratch.save(sort_groups(rows, kind, sorter))

@@ -91,7 +91,7 @@ def subtrees(s: Shard, kind: Kind) -> list[np.ndarray]:
     return np.split(hit, first[1:])
 
 
-WORDS = Kind(window=WINDOW, gram=GRAM, words=True, shard_bytes=2 << 20)
+WORDS = Kind(window=WINDOW, gram=GRAM, words=True, shard_bytes=1 << 20, group_bytes=4 << 20)
 N_WORDS = "size(filter(split(coalesce(text, ''), '[\\\\x20\\\\x09-\\\\x0D]+'), w -> w != ''))"
 
 
