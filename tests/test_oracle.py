@@ -45,14 +45,14 @@ def test_entry_returns_rows(spark):
 
 def test_every_registered_query_has_oracle_or_is_rows_only():
     rows_only = set(E.queries()) - set(ORACLES)
-    assert rows_only <= {"ingest_files", "stream_ingest", "telecom_validation", "telecom_rejections",
-                         "telecom_scorecard", "telecom_open_events", "telecom_run_health"}
+    text = {"pipeline"} | {q for q in E.queries() if q[:2] == "op" and q[2:].split("_")[0].isdigit()}  # tested in tests/llm
+    assert rows_only - text <= {"telecom_validation", "telecom_rejections", "telecom_scorecard", "telecom_open_events", "telecom_run_health"}
 
 
 def test_medallion_queries_run(spark):
     q = E.queries()
     ledger = q["ingest_files"](spark, SF_SMALL).collect()
-    assert ledger and {r.status for r in ledger} == {"loaded", "quarantined"}
+    assert ledger and {r.status for r in ledger} <= {"loaded", "quarantined"}
     counts = q["telecom_validation"](spark, SF_SMALL).collect()
     assert [r.domain for r in counts] == ["subscribers", "traffic_voice", "traffic_sms", "traffic_internet", "qos", "revenue"]
     assert all(r.rows_processed == r.rows_validated + r.rows_rejected and r.rows_rejected > 0 for r in counts)
