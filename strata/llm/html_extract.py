@@ -199,7 +199,10 @@ def _mark(html: str) -> str:
 
 
 def train(pages: DataFrame, html: str = "html", sample_pages: int = SAMPLE_PAGES) -> Trees:
-    sample = pages.select(F.col(html).alias("h")).where("h IS NOT NULL").orderBy(F.xxhash64("h"), "h").limit(sample_pages)
+    # the smallest hashes first: the pages themselves only travel for the sample
+    hashed = pages.select(F.xxhash64(html).alias("k"), F.col(html).alias("h")).where("h IS NOT NULL")
+    least = hashed.select("k").distinct().orderBy("k").limit(sample_pages).agg(F.max("k")).first()[0]
+    sample = hashed.where(F.col("k") <= F.lit(least)).groupBy("k").agg(F.min("h").alias("h")).orderBy("k")
     x, y = training_rows([r.h for r in sample.collect()])
     rows = [(float(label), Vectors.dense(v)) for v, label in zip(x, y)]
     frame = pages.sparkSession.createDataFrame(rows, ["label", "features"]).coalesce(2).cache()
