@@ -230,21 +230,36 @@ def repeated(rows: DataFrame) -> DataFrame:
 
 
 def spans(found: DataFrame, kind: Kind) -> DataFrame:
-    """One row per repeated anchor: its group, its windows and their tokens (words joined by a space)."""
+    """One row per repeated anchor: its group, its windows and their tokens (words joined by a space).
+
+    Equal spans of one text (a repeated word fills it with them) are combined
+    before the shuffle: one goes on, and the windows of all are reported as rows
+    of level -1, with the range [a, a + n).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k1, k2, text, marks in rows_of(batches):
             units = text.split() if kind.words else text
             out: list[list] = [[] for _ in range(8)]
+            first: dict[tuple[int, int, int], tuple[int, int]] = {}
+            again: list[tuple[int, int]] = []
             for m in marks:
                 a, z = m["a"], m["b"]
                 body = units[a : z + kind.window]
+                key = (m["g"], m["x"] - a, z - a)
+                known = first.setdefault(key, (a, z))
+                if known[0] != a and units[known[0] : known[1] + kind.window] == body:
+                    again += [(known[0], known[1] + kind.window), (a, z + kind.window)]
+                    continue
                 row = (m["g"], k1, k2, a, m["x"] - a, z - a + 1, 0, b" ".join(body) if kind.words else body)
                 for c, v in zip(out, row):
                     c.append(v)
                 if len(out[0]) == FLUSH:
                     yield _span_batch(out)
                     out = [[] for _ in range(8)]
+            for s, e in union_spans(sorted(set(again))):
+                for c, v in zip(out, (k1, k1, k2, s, 0, e - s, -1, b"")):
+                    c.append(v)
             if out[0]:
                 yield _span_batch(out)
 
@@ -347,6 +362,9 @@ def sort_groups(rows: DataFrame, kind: Kind, sorter: Sorter) -> DataFrame:
         for b in batches:
             cols = [c.to_pylist() for c in b.columns]
             for g, k1, k2, a, left, n, level, body in zip(*cols[:8]):
+                if level < 0:  # reported by the span stage
+                    found.append((k1, k2, a, a + n))
+                    continue
                 if g != group:
                     close_group()
                     group, over = g, False
