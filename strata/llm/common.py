@@ -7,7 +7,6 @@ import os
 import shutil
 import tempfile
 import uuid
-import weakref
 from collections.abc import Iterator
 
 import numpy as np
@@ -72,7 +71,7 @@ class Scratch:
         hadoop_path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
-_OPEN: weakref.WeakSet = weakref.WeakSet()
+_OPEN: set = set()
 
 
 @atexit.register
