@@ -71,8 +71,8 @@ ACTIVE_TO_TOTAL_LIMIT = "1.05"
 DEFAULT_SUM_TOLERANCE_PCT = "1.0"
 USF_RATE_LIMIT = "0.10"
 LATENCY_MAX_MS = 5000
-# ---------------------------------------------------------------------------
 
+# Column names, in the order of the submissions.
 VOICE_MOBILE = (
     "voice_minutes_outgoing_onnet",
     "voice_minutes_outgoing_offnet",
@@ -130,6 +130,8 @@ REV_FIXED_VOICE = ("revenue_fixed_voice_subscription_xaf", "revenue_fixed_voice_
 REV_FIXED_BB = ("revenue_fixed_broadband_subscription_xaf", "revenue_fixed_broadband_usage_xaf")
 REV_OTHER = ("revenue_equipment_rental_xaf", "revenue_value_added_services_xaf", "revenue_other_xaf")
 REV_COMPONENTS = REV_VOICE + REV_SMS + REV_INTERNET + REV_FIXED_VOICE + REV_FIXED_BB + REV_OTHER
+# End of the fixed values; the rule codes and their order in the rule lists below are fixed as well.
+# ---------------------------------------------------------------------------
 
 
 @dataclass(frozen=True)

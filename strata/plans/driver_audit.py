@@ -128,9 +128,9 @@ st AS (
 SELECT report_period,
        CASE WHEN loaded_domains = 3 THEN 'loaded' WHEN loaded_domains > 0 THEN 'partial' ELSE 'empty' END AS period_status,
        CASE WHEN loaded_domains = 3 THEN 'skip' WHEN loaded_domains > 0 THEN 'error' ELSE 'proceed' END AS action,
-       CASE WHEN loaded_domains = 3 THEN 'period already fully loaded in bronze'
-            WHEN loaded_domains > 0 THEN 'Refusing to auto-generate ' || report_period
-                 || ': bronze already has partial data for domains ' || array_to_string(ld, ', ')
+       CASE WHEN loaded_domains = 3 THEN '{audit.GATE_LOADED}'
+            WHEN loaded_domains > 0 THEN replace(replace('{audit.GATE_PARTIAL.replace("{", "<").replace("}", ">")}', '<period>', report_period),
+                                                 '<domains>', '[''' || array_to_string(ld, ''', ''') || ''']')
        END AS reason,
        CAST(loaded_domains AS INTEGER) AS loaded_domains
 FROM st
