@@ -36,6 +36,17 @@ def test_pieces_are_the_ids_of_the_tokenizer(spark):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_long_runs_of_white_space(spark):
+    """Runs that the rank file's encoder fails on, and the lengths around the switch."""
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    n = packing.SAFE_SPACE
+    texts = [" " * 2_000_000, "a" + "\n" * 2_000_000 + "b <|endoftext|>", "x" + " " * n + "y", "x" + "\t" * (n + 1) + "y", " \u3000\r\n" * n + "z"]
+    for text in texts[2:]:
+        assert packing.token_ids(text) == t.encode(text, add_special_tokens=False).ids
+    rows = packing.pieces(spark.createDataFrame(list(enumerate(texts)), SCHEMA)).groupBy("doc_id").agg(F.sum("length").alias("n"))
+    assert {r.doc_id: r.n for r in rows.collect()} == {i: len(t.encode(x, add_special_tokens=False).ids) + 1 for i, x in enumerate(texts)}
+
+
 def check_bins(rows, capacity):
     bins = {}
     for r in rows:
