@@ -8,8 +8,11 @@ from html import unescape
 
 import numpy as np
 
+# A quote opens a value only after "="; any other, or one that nothing closes, is an ordinary character. The "/" of "/>" is a group of its own.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|</?[a-zA-Z].*", re.S)
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:\s++|/(?!>)|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+))?+)*+)(/?)>"
+    r"|</?[a-zA-Z].*", re.S)
 ATTRIBUTE = re.compile(r"(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 NAME = re.compile(r"[a-z]+|[0-9]+")
 RAW = frozenset("script style textarea title noscript iframe template svg math object select option button xmp noembed noframes".split())

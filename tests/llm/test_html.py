@@ -92,3 +92,15 @@ def test_odd_rows(spark, trained):
 def test_training_on_an_empty_table(spark):
     trees = html_extract.train(spark.createDataFrame([], "html string"))
     assert trees.log_odds(np.zeros((1, len(dom.FEATURES)))).shape == (1,)
+
+
+@pytest.mark.parametrize("html,blocks", [
+    ("<article><p title=it's>One one</p><p>Two two</p></article>", ["One one", "Two two"]),
+    ('<article><p class="a"">One one</p><p>Two "two"</p></article>', ["One one", 'Two "two"']),
+    ("""<p title=it's>one</p><p class='b"'>two</p><p id = "x>y" '>three</p>""", ["one", "two", "three"]),
+    ('<p class="a>one</p><p>two</p>', ["one", "two"]),
+    ('<p ="a>one<a href=x"y>two</a> three', ["one" + "two three"]),
+    ("one <a href='x>y'>two</a> <b title=", ["one two"]),
+])
+def test_stray_quotes_in_tags(html, blocks):
+    assert [t for _, t, _ in dom.parse(html).blocks] == blocks
