@@ -15,7 +15,14 @@ TOKEN = re.compile(
     r"|</?[a-zA-Z].*", re.S)
 ATTRIBUTE = re.compile(r"(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 NAME = re.compile(r"[a-z]+|[0-9]+")
-RAW = frozenset("script style textarea title noscript iframe template svg math object select option button xmp noembed noframes".split())
+RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())  # up to their end tag, all is text
+DROPPED = frozenset("svg math object select option button template".split())  # without text, but with tags inside
+FOREIGN = frozenset("svg math".split())  # "/>" closes a tag in here, and no element is raw
+HTML_IN_FOREIGN = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+# An opening tag of these ends an open svg or math, as browsers have it.
+BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small "
+    "span strong strike sub sup table tt u ul var".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -75,14 +82,18 @@ def kinds_of(tag: str, attributes: str) -> frozenset:
 
 
 def parse(html: str) -> Page:
-    """Nodes of block elements with their blocks of text; scripts, styles and other raw elements have none."""
+    """Nodes of block elements with their blocks of text; raw and dropped elements have none.
+
+    A raw element without its end tag takes the rest of the page, as in HTML. A dropped one ends
+    with its own end tag or that of an element around it.
+    """
     page = Page()
     page.tag.append("#page")
     page.parent.append(-1)
     page.kinds.append(frozenset())
     stack: list[tuple[str, int]] = [("#page", 0)]  # (tag, node that owns text here)
     text: list[str] = []
-    linked = links = 0
+    linked = links = dropped = 0
 
     def flush() -> None:
         nonlocal linked
@@ -94,20 +105,30 @@ def parse(html: str) -> Page:
         linked = 0
 
     def close(upto: int) -> None:
-        nonlocal links
+        nonlocal links, dropped
         while len(stack) > upto:
             tag = stack[-1][0]
-            if tag in BLOCK:
+            if tag in BLOCK and not dropped:
                 flush()
             links -= tag == "a"
+            dropped -= tag in DROPPED
             stack.pop()
 
+    def foreign() -> int:
+        """Place in the stack of the svg or math that the next tag belongs to, or 0."""
+        for k in range(len(stack) - 1, 0, -1):
+            if stack[k][0] in FOREIGN:
+                return k
+            if stack[k][0] in HTML_IN_FOREIGN:
+                break
+        return 0
+
     at = 0
     find = TOKEN.search
     while True:
         m = find(html, at)
         end = m.start() if m else len(html)
-        if end > at:
+        if end > at and not dropped:
             piece = html[at:end]
             text.append(piece)
             if links:
@@ -125,10 +146,29 @@ def parse(html: str) -> Page:
                     close(k)
                     break
             continue
-        if tag in RAW:
+        around = foreign() if dropped else 0
+        if around and tag in BREAKOUT:
+            close(around)
+            around = 0
+        if m[4] and (around or tag in FOREIGN):
+            continue
+        if tag in RAW and not around:
             shut = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(html, at)
             at = shut.start() if shut else len(html)
             continue
+        if dropped or tag in DROPPED:
+            if tag in ("option", "select", "button"):  # none holds another of its kind
+                for k in range(len(stack) - 1, 0, -1):
+                    if stack[k][0] == tag:
+                        close(k)
+                        break
+                    if stack[k][0] in SCOPE or stack[k][0] in DROPPED:
+                        break
+            if tag not in VOID:
+                stack.append((tag, stack[-1][1]))
+                dropped += tag in DROPPED
+                links += tag == "a"
+            continue
         if tag in VOID:
             if tag in BLOCK:
                 flush()

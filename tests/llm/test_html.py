@@ -104,3 +104,21 @@ def test_training_on_an_empty_table(spark):
 ])
 def test_stray_quotes_in_tags(html, blocks):
     assert [t for _, t, _ in dom.parse(html).blocks] == blocks
+
+
+@pytest.mark.parametrize("html,blocks", [
+    ('<svg class="icon"/><article>one</article>', ["one"]),
+    ('<p>a <svg class=icon /> b <math/> c</p><article>one</article>', ["a b c", "one"]),
+    ('<svg><title/><style/><g><path d="x"/><text>no</text></g></svg><p>one</p><svg></svg>', ["one"]),
+    ("<svg><circle><p>one</p><svg><text>no</text></svg><p>two</p>", ["one", "two"]),
+    ("<svg><foreignObject><p>no</p></foreignObject></svg>one", ["one"]),
+    ('<datalist id=x><option value="a">A<option value="b"></datalist><article>one</article>', ["one"]),
+    ("<p>a<select><option>no<option>no</select>b</p>c", ["ab", "c"]),
+    ("<div><button>no</div><article>one</article><button>no</button>two", ["one", "two"]),
+    ("<div><object><p>no</div>one<object>no</object>", ["one"]),
+    ("<p>a <button><div>no</div><a href=x>no</a></button> b</p><p>c", ["a b", "c"]),
+    ("<template><li>no<li>no</template>one", ["one"]),
+    ("<div>one</div><textarea>no <p>no", ["one"]),
+])
+def test_dropped_elements_end_where_they_do(html, blocks):
+    assert [t for _, t, _ in dom.parse(html).blocks] == blocks
