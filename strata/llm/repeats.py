@@ -274,6 +274,7 @@ def rows_of(batches: Iterator[pa.RecordBatch], step: int = 64) -> Iterator[tuple
 
 
 FLUSH = 4096
+DEFERRED = 2_000  # spans of oversized groups that a task holds before it sends them on
 SPAN_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
 SPAN_NAMES = ["g", "k1", "k2", "a", "left", "n", "level", "body"]
 
@@ -382,6 +383,8 @@ def sort_groups(rows: DataFrame, kind: Kind, sorter: Sorter) -> DataFrame:
                 last, last_row, last_sent = (left, n, body), (k1, k2, a), False
                 if over:
                     defer(g, k1, k2, a, left, n, level, body)
+                    if len(deferred[0]) >= DEFERRED:
+                        yield from flush_deferred()
                     continue
                 pending.left.append(left)
                 pending.n.append(n)
@@ -392,9 +395,9 @@ def sort_groups(rows: DataFrame, kind: Kind, sorter: Sorter) -> DataFrame:
                     over = True
                     for row, l, m, body_ in zip(pending.rows, pending.left, pending.n, pending.bodies):
                         defer(g, *row, l, m, level, body_)
+                        if len(deferred[0]) >= DEFERRED:
+                            yield from flush_deferred()
                     pending = Shard()
-                if len(deferred[0]) >= 2_000:
-                    yield from flush_deferred()
             if len(found) > 20_000:
                 yield from flush_found()
         close_group()

@@ -7,6 +7,7 @@ from dataclasses import replace
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from strata.llm import repeats, substring, suffix_array
@@ -91,3 +92,35 @@ def test_empty_table_and_extra_columns(spark):
 
 def test_group_widths_end_at_one_window():
     assert replace(suffix_array.BYTES).width(0) == 201 and suffix_array.BYTES.width(3) == 1 and substring.WORDS.width(2) == 1
+
+
+class Stream:
+    """Stands in for a frame, so that a task's function can be driven by hand."""
+
+    def mapInArrow(self, run, schema):
+        return run
+
+    def __getattr__(self, name):
+        return lambda *a, **k: self
+
+
+def test_a_hot_group_streams(spark):
+    """One group of distinct spans, far over its size, at the end of a partition: spans go on while the group is read."""
+    kind = repeats.Kind(window=40, gram=16, words=False, shard_bytes=4000, group_bytes=200_000)
+    run = repeats.sort_groups(Stream(), kind, lambda shard, kind: [])
+    read, sent, size = 0, 0, 1000
+
+    def batches():
+        nonlocal read
+        for k in range(0, 30_000, size):
+            rows = [(7, i, i, 0, 24, 25, 0, b"%064d" % i) for i in range(k, k + size)]
+            read += size
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), repeats.SPAN_TYPES)], names=repeats.SPAN_NAMES)
+
+    start = kind.group_bytes // 64 + 1
+    for b in run(batches()):
+        assert b.num_rows <= repeats.DEFERRED
+        sent += b.num_rows
+        assert read - sent <= start + repeats.DEFERRED + size
+        assert set(b.column(6).to_pylist()) == {1}
+    assert sent == read == 30_000
