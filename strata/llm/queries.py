@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, html_extract, packing, quality, quotes, sharding, simhash, substring, suffix_array, urls
+from strata.llm import align, bpe, codes, decontaminate, html_extract, packing, quality, quotes, sharding, simhash, substring, suffix_array, urls
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,18 @@ def op5_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op9_quotation_threads")
 def op9_quotation_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.link(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
+@_query("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(table(spark, sf_dir, "documents").select("doc_id", "text"))[0]
+
+
+@_query("op12_vector_codes")
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.digest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
+@_query("op13_bpe_round_trip")
+def op13_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
