@@ -32,6 +32,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -55,27 +56,30 @@ _ALIGNERS: dict = {}
 
 def linked(a: list[int], a_sizes: list[int], b: list[int], b_sizes: list[int]) -> tuple[str, int, list[int]]:
     """Groups as text, their number, and one number (A id, B id) for each link, of tokens that start and end together."""
-    i = j = groups = 0
-    links, text, begun = [], [], (0, 0)
     if not a:
         return "", 0, []
-    a_end, b_end = a_sizes[0], b_sizes[0]
-    while True:
-        links.append(a[i] << 32 | b[j])
-        if a_end == b_end:
-            text.append(f"{','.join(map(str, a[begun[0] : i + 1]))}|{','.join(map(str, b[begun[1] : j + 1]))}")
-            groups += 1
-            i, j = i + 1, j + 1
-            begun = (i, j)
-            if i == len(a):
-                return ";".join(text), groups, links
-            a_end, b_end = a_end + a_sizes[i], b_end + b_sizes[j]
-        elif a_end < b_end:
-            i += 1
-            a_end += a_sizes[i]
-        else:
-            j += 1
-            b_end += b_sizes[j]
+    if len(a) == len(b) == 1:
+        return f"{a[0]}|{b[0]}", 1, [a[0] << 32 | b[0]]
+    links, text = [], []
+    others, other_sizes = iter(b), iter(b_sizes)
+    y, y_end, end, a_ids, b_ids = next(others), next(other_sizes), 0, "", ""
+    b_ids = str(y)
+    for x, size in zip(a, a_sizes):
+        end += size
+        a_ids = f"{a_ids},{x}" if a_ids else str(x)
+        while y_end < end:
+            links.append(x << 32 | y)
+            y, y_end = next(others), y_end + next(other_sizes)
+            b_ids = f"{b_ids},{y}" if b_ids else str(y)
+        links.append(x << 32 | y)
+        if y_end == end:
+            text.append(f"{a_ids}|{b_ids}")
+            a_ids = b_ids = ""
+            y = next(others, None)
+            if y is not None:
+                y_end += next(other_sizes)
+                b_ids = str(y)
+    return ";".join(text), len(text), links
 
 
 @dataclass
@@ -109,15 +113,18 @@ class Aligner:
         self.words = Known(self._words)
 
     def _words(self, new: list[bytes]) -> list[tuple]:
-        """(n_a, n_b, n_groups, groups, links) of each word; no links where the bytes of a side differ from it."""
-        out = []
-        for word, a, b in zip(new, self.a.packed(new), self.b.packed(new)):
-            a, b = memoryview(a).cast("I").tolist(), memoryview(b).cast("I").tolist()
-            if any(b"".join([v.tokens[i] for i in ids]) != word for v, ids in ((self.a, a), (self.b, b))):
-                out.append((0, 0, 0, "", np.zeros(0, np.int64)))
+        """((n_a, n_b, n_groups, n_links), groups, links) of each word; no tokens where B's bytes differ from it.
+
+        A byte-level vocabulary always gives back the bytes it has read.
+        """
+        a_tokens, b_tokens, out = self.a.tokens, self.b.tokens, []
+        for word, a, b in zip(new, self.a.ids_of(new), self.b.ids_of(new)):
+            pieces = [b_tokens[i] for i in b]
+            if b"".join(pieces) != word:
+                out.append(((0, 0, 0, 0), "", []))
                 continue
-            text, n, links = linked(a, [len(self.a.tokens[i]) for i in a], b, [len(self.b.tokens[i]) for i in b])
-            out.append((len(a), len(b), n, text, np.array(links, np.int64)))
+            text, n, links = linked(a, [len(a_tokens[i]) for i in a], b, list(map(len, pieces)))
+            out.append(((len(a), len(b), n, len(links)), text, links))
         return out
 
     def tokens(self, vocab, body: bytes) -> np.ndarray | None:
@@ -167,30 +174,32 @@ class Block:
 
     def __init__(self, number: int):
         self.number, self.index = number, {}
-        self.sizes = np.zeros((1024, 3), np.int64)  # n_a, n_b, n_groups of each word
+        self.sizes = np.zeros((1024, 4), np.int64)  # n_a, n_b, n_groups, n_links of each word
         self.texts: list[str] = []
-        self.links: list[np.ndarray] = []
+        self.links: list[list[int]] = []
         self.rows: list[dict] = []
-        self.counts = np.zeros(1024, np.int64)
+        self.words: list[np.ndarray] = []
         self.n = 0
 
     def add(self, known: Known, fragments: list[bytes], row: dict, keep_text: bool) -> bool:
         """Adds a document of these words; False if a word has no tokens."""
         at = list(map(self.index.get, fragments))
         if None in at:
-            new = list(dict.fromkeys(f for f, x in zip(fragments, at) if x is None))
-            for f, (n_a, n_b, n, text, links) in zip(new, known.of(new)):
-                self._word(f, (n_a, n_b, n), text, links)
-            at = list(map(self.index.__getitem__, fragments))
+            missing = [i for i, x in enumerate(at) if x is None]
+            new = list(dict.fromkeys([fragments[i] for i in missing]))
+            for f, (sizes, text, links) in zip(new, known.of(new)):
+                self._word(f, sizes, text, links)
+            for i in missing:
+                at[i] = self.index[fragments[i]]
         words = np.array(at, np.uint32)
         sizes = self.sizes[words]
         if not sizes[:, 0].all():
             return False
-        groups = ";".join([self.texts[i] for i in at])
+        groups = ";".join(map(self.texts.__getitem__, at))
         row["sha"] = hashlib.sha256(groups.encode()).hexdigest()
         if keep_text:
             row["text"] = groups
-        row["n_a"], row["n_b"], row["n_groups"] = sizes.sum(axis=0).tolist()
+        row["n_a"], row["n_b"], row["n_groups"], row["n_links"] = sizes.sum(axis=0).tolist()
         self._document(words, row)
         return True
 
@@ -198,28 +207,25 @@ class Block:
         """Adds a closed run of a long document, each distinct id pair being a word; returns its groups."""
         a, b = run.a.tolist(), run.b.tolist()
         text, n, links = linked(a, owner.a.sizes[run.a].tolist(), b, owner.b.sizes[run.b].tolist())
-        row["n_a"], row["n_b"], row["n_groups"] = len(a), len(b), n
+        row["n_a"], row["n_b"], row["n_groups"], row["n_links"] = len(a), len(b), n, len(links)
         for link in dict.fromkeys(links):
-            self._word(link, (1, 1, 1), "", np.array([link], np.int64))
+            if link not in self.index:
+                self._word(link, (1, 1, 1, 1), "", [link])
         self._document(np.array([self.index[x] for x in links], np.uint32), row)
         return text
 
-    def _word(self, key, sizes: tuple[int, int, int], text: str, links: np.ndarray) -> None:
+    def _word(self, key, sizes: tuple[int, int, int, int], text: str, links: list[int]) -> None:
         k = len(self.texts)
         if k == len(self.sizes):
             self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
-            self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
         self.index[key], self.sizes[k] = k, sizes
         self.texts.append(text)
         self.links.append(links)
 
     def _document(self, words: np.ndarray, row: dict) -> None:
-        which, times = np.unique(words, return_counts=True)
-        self.counts[which] += times
-        lengths = [len(self.links[i]) for i in which.tolist()]
-        row["n_links"] = int((np.array(lengths) * times).sum())
         row["words"], row["block"] = words.tobytes(), self.number
         self.rows.append(row)
+        self.words.append(words)
         self.n += len(words)
 
     def full(self) -> bool:
@@ -229,9 +235,10 @@ class Block:
         """The rows of the documents, and one of the block's pairs."""
         if not self.rows:
             return []
-        lengths = np.array([len(x) for x in self.links], np.int64)
-        pairs, at = np.unique(np.concatenate(self.links), return_inverse=True)
-        counts = np.bincount(at, weights=np.repeat(self.counts[: len(lengths)], lengths), minlength=len(pairs)).astype(np.int64)
+        lengths = self.sizes[: len(self.links), 3]
+        times = np.bincount(np.concatenate(self.words), minlength=len(lengths))
+        pairs, at = np.unique(np.fromiter(chain.from_iterable(self.links), np.int64), return_inverse=True)
+        counts = np.bincount(at, weights=np.repeat(times, lengths), minlength=len(pairs)).astype(np.int64)
         head = {"kind": BLOCK, "block": self.number, "pairs": pairs, "counts": counts,
                 "lengths": lengths.astype(np.int32).tobytes(), "links": at.astype(np.uint32).tobytes()}
         return [head | more, *self.rows]

@@ -94,7 +94,10 @@ class ByteLevel:
         return self._known.of(fragments)
 
     def _encode(self, new: list[bytes]) -> list[bytes]:
-        return [struct.pack(f"<{len(ids)}I", *ids) for ids in map(self._ids, new)]
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in self.ids_of(new)]
+
+    def ids_of(self, fragments: list[bytes]) -> list[list[int]]:
+        return list(map(self._ids, fragments))
 
     def _ids(self, fragment: bytes) -> list[int]:
         """Both encoders hold the same vocabulary; the rank file's is several times as fast on a short fragment."""
@@ -152,9 +155,19 @@ class Pieces:
         return self._known.of(fragments)
 
     def _encode(self, new: list[bytes]) -> list[bytes]:
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in self.ids_of(new)]
+
+    def ids_of(self, fragments: list[bytes]) -> list[list[int]]:
+        """Ids of each fragment. Those without a line feed are encoded as lines of one text, as nothing joins over it."""
+        lines = [f for f in fragments if b"\n" not in f]
+        ids, end = self.model.encode("\n" + b"\n".join(lines).decode(), num_threads=1), self.lead[-1]
+        found = {}
+        if lines:
+            array = np.array(ids)
+            edges = [*(np.flatnonzero(array == end) + 1).tolist(), len(ids) + 1]
+            found = {f: ids[x : y - 1] for f, x, y in zip(lines, edges, edges[1:])}
         n = len(self.lead)
-        found = self.model.encode(["\n" + f.decode() for f in new], num_threads=1)
-        return [struct.pack(f"<{len(ids) - n}I", *ids[n:]) for ids in found]
+        return [found[f] if f in found else self.model.encode("\n" + f.decode(), num_threads=1)[n:] for f in fragments]
 
 
 class Known:
