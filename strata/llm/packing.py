@@ -3,7 +3,9 @@
 Round 0 packs every partition's pieces by best-fit decreasing. Bins that are
 nearly full are final; the underfull ones become items of the next round, which
 merges partitions as a tree (each task gets at most ``group_bins`` bins) and
-packs again. Rounds go on while they save sequences, up to a single group.
+packs again, each time with other neighbours. Rounds go on as long as they save a
+sequence, or end when one group holds all underfull bins or when the bins are as
+few as their tokens allow.
 
 Bins travel as (bin, fill) pairs; pieces are only tagged with the bin of round 0
 and joined once with the final place of that bin. So a task holds the lengths of
@@ -34,7 +36,6 @@ CAPACITY = 1024
 END_ID = 2
 SLACK = 8  # a bin with at most this many free places is nearly full
 GROUP_BINS = 200_000  # underfull bins in one task of a merging round
-MAX_ROUNDS = 12
 SAFE_SPACE = 100_000  # white space in a run that the rank file's encoder gets; it fails at a million
 SPACES = re.compile(r"\s{2,}")
 _ENCODERS: dict = {}
@@ -179,10 +180,12 @@ def pack(items: DataFrame, capacity: int = CAPACITY, slack: int = SLACK, group_b
         return bins.where((F.col("at") == 0) & (F.col("fill") < capacity - slack)).select(F.col("bin").alias("old"), F.col("fill").alias("length"))
 
     left = underfull(placed)  # one row a bin: its first piece
-    moves, n = None, left.count()
-    for number in range(1, MAX_ROUNDS):
-        if n < 2:
+    moves, number = None, 0
+    while True:
+        n, tokens = left.agg(F.count("*"), F.sum("length")).first()
+        if n < 2 or n == -(-tokens // capacity):
             break
+        number += 1
         groups = -(-n // group_bins)
         merged = scratch.save(_round(left.repartition(groups, F.xxhash64("old", F.lit(number))), capacity, number))
         step = merged.select("old", "bin", F.col("at").alias("base"))
@@ -194,9 +197,8 @@ def pack(items: DataFrame, capacity: int = CAPACITY, slack: int = SLACK, group_b
                 F.col("m.old").alias("old"), F.coalesce("s.bin", "m.bin").alias("bin"), (F.col("m.base") + F.coalesce("s.base", F.lit(0))).alias("base"))
         left = underfull(merged)
         now = merged.where("at = 0").count()
-        if groups == 1 or now > 0.999 * n:
+        if groups == 1 or now == n:
             break
-        n = left.count()
     out = [F.col(c) for c in items.columns if c not in clash]
     if moves is None:
         return placed.select(*out, F.col("bin").alias("sequence_id"), F.col("at").alias("offset"))

@@ -8,14 +8,17 @@ message, a paragraph or a line. A quoted passage found nowhere as a whole is tri
 by its longest line.
 
 The first linked passage of the outermost level names the message replied to.
-Messages that reply to their predecessor continue its thread, a reply to an
-earlier message opens a thread below that message's, and messages without a link
-are threads by themselves. Sorting by (conv_id, thread, turn) gives every
+Messages that reply to their predecessor (the message with the greatest smaller turn
+that exists in the conversation) continue its thread, a reply to an earlier message
+opens a thread below that message's, and messages without a link are threads by
+themselves. Sorting by (conv_id, thread, turn) gives every
 conversation in reply order, without quotes.
 
 A conversation is never gathered: passages are reduced to their first speaker
 before the join, so quotes meet one row each, and threads are found by pointer
-jumping over the links alone.
+jumping over the links alone. A thread's path has one number for each level of
+sub-threads, so a chain of d sub-threads, each opened below the one before, writes
+d * d / 2 numbers; replies to the predecessor add no level.
 
 Defined cases: a null text is empty; a null conv_id is a conversation like others;
 rows that repeat a (conv_id, turn) keep their own row and share the place;
@@ -30,7 +33,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
@@ -55,11 +58,15 @@ def parse_message(text: str) -> tuple[str, list[tuple[int, list[str]]]]:
     for line in text.split("\n"):
         m = MARK.match(line)
         lines.append((m[1].count(">"), m[2]) if m else (0, line))
+    ahead, level = [0] * len(lines), 0  # the level of the next line that is quoted or not blank
+    for k in range(len(lines) - 1, -1, -1):
+        ahead[k] = level
+        if lines[k][0] or lines[k][1].strip():
+            level = lines[k][0]
     own: list[str] = []
     passages: list[tuple[int, list[str]]] = []
     for k, (level, body) in enumerate(lines):
-        ahead = next((x for x, t in lines[k + 1 :] if t.strip() or x), 0)
-        if ahead > level and (ATTRIBUTION.match(body.strip()) or SEPARATOR.match(body)):
+        if ahead[k] > level and (ATTRIBUTION.match(body.strip()) or SEPARATOR.match(body)):
             continue
         if not level:
             own.append(body)
@@ -140,21 +147,51 @@ def link(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", text: s
     if replies.isEmpty():
         out = joined.withColumn("thread", F.array(F.col(turn).cast("long")))
     else:
-        threads = _threads(scratch.save(joined.select("__row", "__conv", F.col(turn).cast("long").alias("turn"), F.col("reply_to").cast("long"))), scratch)
+        places = joined.select("__row", "__conv", F.col(turn).cast("long").alias("turn"), F.col("reply_to").cast("long"))
+        threads = _threads(scratch.save(places.where("reply_to IS NOT NULL")), _predecessors(rows, turn, scratch), scratch)
         out = joined.join(threads, "__row", "left").withColumn("thread", F.coalesce("path", F.array(F.col(turn).cast("long"))))
     keep = [c for c in messages.columns if c not in (*added, text)]
     return out.select(*keep, F.col("own").alias(text), F.col("reply_to"), F.col("thread"))
 
 
-def _threads(rows: DataFrame, scratch: Scratch) -> DataFrame:
-    """(__row, path) of the messages that are linked; ``rows``: __row, __conv, turn, reply_to."""
-    linked = rows.where("reply_to IS NOT NULL")
+def _predecessors(rows: DataFrame, turn: str, scratch: Scratch) -> DataFrame:
+    """(__conv, turn, before): each distinct turn with the greatest smaller one of its conversation.
+
+    Turns are ranged over partitions in order, so that a conversation may span
+    many. Inside a partition one turn follows the other; the first of a partition
+    takes the last of the nearest partition before that has turns (one row a
+    partition).
+    """
+    turns = rows.select("__conv", F.col(turn).cast("long").alias("turn")).where("turn IS NOT NULL").distinct()
+    ranged = scratch.save(turns.repartitionByRange("__conv", "turn").withColumn("part", F.spark_partition_id()))
+    ends = ranged.groupBy("part").agg(F.max(F.struct("__conv", "turn")).alias("end"))
+    ends = ends.select(F.col("part").alias("from"), F.lead("part", 1, 1 << 30).over(Window.orderBy("part")).alias("part"), "end")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        conv = last = part = None
+        for b in batches:
+            before = []
+            for c, t, p in zip(*[x.to_pylist() for x in b.columns[:3]]):
+                before.append(last if (c, p) == (conv, part) else None)
+                conv, last, part = c, t, p
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(before, pa.int64())], names=["__conv", "turn", "part", "before"])
+
+    near = ranged.repartition("part").sortWithinPartitions("part", "__conv", "turn")
+    inside = near.mapInArrow(run, "__conv string, turn long, part int, before long")
+    first = inside.where("before IS NULL").join(ends.select("part", "end"), "part", "left")
+    over = first.select("__conv", "turn", F.when(F.col("end.__conv") == F.col("__conv"), F.col("end.turn")).alias("before"))
+    return scratch.save(inside.where("before IS NOT NULL").select("__conv", "turn", "before").unionByName(over))
+
+
+def _threads(linked: DataFrame, order: DataFrame, scratch: Scratch) -> DataFrame:
+    """(__row, path) of the messages that are linked (__row, __conv, turn, reply_to); ``order``: their conversations' turns."""
     place = lambda t: F.concat(F.col("__conv"), F.lit("|"), F.col(t).cast("string"))
     # several rows at one turn: the place follows the earliest reply
     places = linked.groupBy("__conv", "turn").agg(F.min("reply_to").alias("reply_to"))
-    near = places.where("turn - reply_to = 1").select(place("turn").alias("node"), place("reply_to").alias("to"))
+    places = scratch.save(places.join(order, ["__conv", "turn"]).withColumn("near", F.col("before") == F.col("reply_to")))
+    near = places.where("near").select(place("turn").alias("node"), place("reply_to").alias("to"))
     heads = jump(near, scratch)  # messages that go on -> the head of their thread
-    down = places.where("turn - reply_to > 1").select(place("turn").alias("node"), place("reply_to").alias("to"), "turn")
+    down = places.where("NOT near").select(place("turn").alias("node"), place("reply_to").alias("to"), "turn")
     d, h = down.alias("d"), heads.alias("h")
     down = d.join(h, F.col("d.to") == F.col("h.node"), "left").select("d.node", F.coalesce("h.to", "d.to").alias("up"), F.array("d.turn").alias("path"))
     state = scratch.save(down)

@@ -7,7 +7,10 @@ sort the suffixes of one group.
    hash, leftmost among equals. Equal windows have their anchor at the same
    offset, so a window can only repeat where its anchor's gram does. One row per
    anchor: text, anchor, and the range of window starts that own it.
-2. Anchors are shuffled by gram; those whose gram starts once only are done.
+2. Anchors are shuffled by gram; those whose gram starts once only are done. A gram
+   that starts twice in a block of texts is known to repeat: two of its anchors go
+   to the others as witnesses, and all of them pass by without that shuffle's key, so
+   a gram with a third of all anchors does not land in one task.
 3. The texts of the others are fetched once; every remaining anchor becomes a
    span, the tokens of its windows, and goes to the group of its gram.
 4. A group holds all windows that can equal each other. Equal spans are collapsed
@@ -183,8 +186,15 @@ def long_text(t: bytes, i: int, kind: Kind) -> Iterator[tuple[np.ndarray, np.nda
         held, at = held[len(held) - keep :], end
 
 
+ASKED, WITNESS, SURE = range(3)
+ANCHOR = ["k1", "k2", "g", "x", "a", "b"]
+
+
 def sample(texts: DataFrame, kind: Kind) -> DataFrame:
-    """(k1, k2, g, x, a, b): the anchors of all texts; a text that comes again in a task is passed over."""
+    """(k1, k2, g, x, a, b, role): the anchors of all texts; a text that comes again in a task is passed over.
+
+    Of the anchors whose gram starts twice in a block, two go as witnesses too.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
@@ -196,12 +206,20 @@ def sample(texts: DataFrame, kind: Kind) -> DataFrame:
             for values, lengths, first, before in text_blocks(bodies, kind):
                 t, g, x, a, z = anchors(values, lengths, kind)
                 if len(t):
-                    row = pa.array(t + first)
+                    order = np.argsort(g, kind="stable")
+                    same = g[order][1:] == g[order][:-1]
+                    again, follows = np.zeros(len(g), bool), np.concatenate([[False], same])
+                    again[order] = follows | np.concatenate([same, [False]])
+                    third = np.concatenate([[False, False], same[1:] & same[:-1]])[: len(g)]
+                    shown = order[again[order] & ~third]
+                    row = np.concatenate([np.arange(len(g)), shown])
+                    role = np.concatenate([np.where(again, SURE, ASKED), np.full(len(shown), WITNESS)]).astype(np.int32)
+                    text = pa.array((t + first)[row])
                     yield pa.RecordBatch.from_arrays(
-                        [b.column(0).take(row), b.column(1).take(row), *[pa.array(v) for v in (g, x + before, a + before, z + before)]],
-                        names=["k1", "k2", "g", "x", "a", "b"])
+                        [b.column(0).take(text), b.column(1).take(text), *[pa.array(v[row]) for v in (g, x + before, a + before, z + before)], pa.array(role)],
+                        names=[*ANCHOR, "role"])
 
-    return texts.mapInArrow(run, "k1 long, k2 long, g long, x long, a long, b long")
+    return texts.mapInArrow(run, "k1 long, k2 long, g long, x long, a long, b long, role int")
 
 
 def repeated(rows: DataFrame) -> DataFrame:
@@ -212,21 +230,29 @@ def repeated(rows: DataFrame) -> DataFrame:
         for b in batches:
             if not b.num_rows:
                 continue
-            v = np.stack([c.to_numpy() for c in b.columns])
+            v = np.stack([b.column(c).to_numpy() for c in [*ANCHOR, "role"]])
+            sure = v[6] == SURE
+            if sure.any():
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in v[:6, sure]], names=ANCHOR)
+                v = v[:, ~sure]
             if held is not None:
                 v = np.concatenate([held, v], axis=1)
-            g, own = v[2], v[[0, 1, 2, 4]]
+            if not v.shape[1]:
+                continue
+            own = v[[0, 1, 2, 4]]
             fresh = np.concatenate([[True], (own[:, 1:] != own[:, :-1]).any(axis=0)])
             v = v[:, fresh]
             g = v[2]
             same = np.concatenate([[matched], g[1:] == g[:-1]])
-            keep = same[:-1] | same[1:]
+            keep = (same[:-1] | same[1:]) & (v[6, :-1] == ASKED)
             held, matched = v[:, -1:], bool(same[-1])
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in v[:, :-1][:, keep]], names=b.schema.names)
-        if held is not None and matched:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in held], names=["k1", "k2", "g", "x", "a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in v[:6, :-1][:, keep]], names=ANCHOR)
+        if held is not None and matched and held[6, 0] == ASKED:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in held[:6]], names=ANCHOR)
 
-    return rows.repartition("g").sortWithinPartitions("g", "k1", "k2", "a").mapInArrow(run, rows.schema)
+    place = F.when(F.col("role") == SURE, F.xxhash64("k1", "k2", "a")).otherwise(F.col("g"))
+    dealt = rows.withColumn("place", place).repartition("place").sortWithinPartitions("g", "k1", "k2", "a", "role")
+    return dealt.select(*ANCHOR, "role").mapInArrow(run, "k1 long, k2 long, g long, x long, a long, b long")
 
 
 def spans(found: DataFrame, kind: Kind) -> DataFrame:

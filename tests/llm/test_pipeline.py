@@ -30,6 +30,9 @@ def planted():
     texts += [texts[2], texts[3].replace(" ", "  ", 3), texts[4] + " tail"]  # copy, same words, near copy
     texts += [prose(80) + "\n" + items[k][1] + "\n" + prose(60) for k in range(3)]  # leaks
     texts += [prose(90) + "\n" + passage + "\n" + prose(70) for _ in range(3)]  # repeated passage
+    for n in (51, 55, 70):  # passages of over 50 words, below and above 400 bytes
+        short = prose(n)
+        texts += [prose(100) + "\n" + short + "\n" + prose(60 + k) for k in range(2)]
     texts += ["### $$$ | *** " * 40, "again and again " * 60, "too short", "", None, "Home\nLogin\n" + prose(120), prose(2500)]
     rows = [(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)]
     return rows + [rows[7], (None, texts[9] + " " + prose(90), None, None, None), (None, prose(100), None, None, None)], items
@@ -55,7 +58,7 @@ def brute_force(rows, items):
         docs.append(next((d, t) for k, t, d in members if k == least))
     bodies = [t.encode() for _, t in docs]
     cut = []
-    for (d, t), mask in zip(docs, brute.repeated_windows(bodies, 400)):
+    for (d, t), mask in zip(docs, brute.repeated_windows(bodies, corpus_pipeline.PASSAGES.window)):
         at, left = 0, []
         for c in t:
             size = len(c.encode())
@@ -104,6 +107,21 @@ def test_run_equals_brute_force(spark, folder):
         assert at <= 1024
 
 
+def test_passages_of_over_fifty_words_go(spark, folder):
+    rows = spark.createDataFrame([r for r in planted()[0] if r[1]], SCHEMA)
+    texts = [t for _, t, *_ in planted()[0] if t]
+    again = [w for k, w in enumerate(texts) for v in texts[:k] if v != w and shared_words(v, w) > 50]
+    assert again and min(len(t.encode()) for t in again) > 400
+    left = [r.text for r in corpus_pipeline.repeated_passages(spark, rows, folder).collect()]
+    assert not any(v != w and shared_words(v, w) > 50 for k, w in enumerate(left) for v in left[:k])
+
+
+def shared_words(v, w):
+    """Longest run of words that two texts share, by runs of 51."""
+    runs = lambda t: {tuple(t[i : i + 51]) for i in range(len(t) - 50)}
+    return 51 if runs(v.split()) & runs(w.split()) else 0
+
+
 def test_stages_return_the_columns_of_documents(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     empty = docs.limit(0)

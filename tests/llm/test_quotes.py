@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 
@@ -38,10 +39,10 @@ def plain(rows):
                     if name in said and said[name] < t:
                         found.append((level, by, k, said[name]))
             links[t] = min(found)[3] if found else None
-        thread = {}
+        thread, turns = {}, sorted(links)
         for t, _, _ in own:
             to = links[t]
-            thread[t] = [t] if to is None else thread[to] if t - to == 1 else thread[to] + [t]
+            thread[t] = [t] if to is None else thread[to] if turns.index(t) - turns.index(to) == 1 else thread[to] + [t]
             out[conv, t] = (to, thread[t])
     return out
 
@@ -78,7 +79,24 @@ def test_long_chains(spark):
     rows += [(2, 0, "u", "start 0")] + [(2, 2 * t, "u", f"> start {2 * t - 2}\nstart {2 * t}") for t in range(1, 20)]
     out = {(r.conv_id, r.turn): r for r in quotes.link(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert list(out[1, 59].thread) == [0] and out[1, 59].reply_to == 58
-    assert list(out[2, 38].thread) == list(range(0, 39, 2))
+    assert list(out[2, 38].thread) == [0] and out[2, 38].reply_to == 36
+
+
+def test_predecessors_across_gaps_and_partitions(spark):
+    rng = random.Random(4)
+    rows = [(c, t, "u", f"> own {c} {p}\nown {c} {t}") for c in range(12) for p, t in zip([None, *range(0, 400, 10)], range(0, 400, 10))]
+    rows = [r for r in rows if r[1] % 3 or r[1] == 0]  # gaps: some reply to a message that is gone
+    rng.shuffle(rows)
+    want = plain(rows)
+    out = quotes.link(spark.createDataFrame(rows, SCHEMA).repartition(6)).collect()
+    assert {(r.conv_id, r.turn): (r.reply_to, list(r.thread)) for r in out} == want
+
+
+def test_very_long_messages():
+    body = "\n".join(["> quoted", "", "On Monday Ann wrote:", "plain"] * 50_000 + [""] * 200_000)
+    begun = time.time()
+    own, passages = quotes.parse_message(body)
+    assert time.time() - begun < 20 and len(passages) == 50_000 and own.count("plain") == 50_000
 
 
 def test_order_repeats_and_empty(spark):
