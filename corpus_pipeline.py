@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 
 from strata.llm import decontaminate, packing, quality, simhash, suffix_array
 from strata.llm.common import Scratch, table, text_keys
+from strata.llm.repeats import Kind
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+# Shortest repeated string that goes. 200 bytes are a passage of over 50 words whose words have three letters on average.
+PASSAGES = Kind(window=200, gram=80, words=False)
 
 
 def _documents(rows: DataFrame) -> DataFrame:
@@ -45,11 +48,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without their repeated 400-byte strings; a document of which no word is left goes.
+    """Texts without their repeated strings of ``PASSAGES.window`` bytes; a document of which no word is left goes.
 
     A cut inside a character takes the whole character.
     """
-    cut = suffix_array.deduplicate(docs.select(*COLUMNS), whole_characters=True)
+    cut = suffix_array.deduplicate(docs.select(*COLUMNS), PASSAGES, whole_characters=True)
     return _documents(cut.withColumn("text", F.col("kept").cast("string")).where("text RLIKE '[^\\\\x20\\\\x09-\\\\x0D]'"))
 
 
