@@ -97,7 +97,8 @@ def test_period_status_and_decisions(spark):
     counts = audit.period_counts({"a": a, "b": b}, spine)
     st = {r.report_period: r for r in audit.generation_decision(audit.classify_periods(counts, 2)).collect()}
     assert (st["2025-01"].period_status, st["2025-01"].action) == ("loaded", "skip")
-    assert st["2025-02"].period_status == "partial" and st["2025-02"].reason.endswith("domains a")
+    assert st["2025-02"].period_status == "partial" and st["2025-02"].reason == (
+        "Refusing to auto-generate 2025-02: bronze already has partial data for domains ['a']. Clean up or handle manually.")
     assert (st["2025-03"].period_status, st["2025-03"].action) == ("empty", "proceed")
 
 
