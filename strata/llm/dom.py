@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 from html import unescape
 
@@ -91,7 +92,8 @@ def parse(html: str) -> Page:
     page.tag.append("#page")
     page.parent.append(-1)
     page.kinds.append(frozenset())
-    stack: list[tuple[str, int]] = [("#page", 0)]  # (tag, node that owns text here)
+    stack: list[tuple[str, int, int]] = [("#page", 0, 0)]  # (tag, node that owns text here, place of the svg or math around, or 0)
+    count: Counter[str] = Counter()  # open elements by tag: none is looked for on the stack in vain
     text: list[str] = []
     linked = links = dropped = 0
 
@@ -112,16 +114,13 @@ def parse(html: str) -> Page:
                 flush()
             links -= tag == "a"
             dropped -= tag in DROPPED
+            count[tag] -= 1
             stack.pop()
 
-    def foreign() -> int:
-        """Place in the stack of the svg or math that the next tag belongs to, or 0."""
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] in FOREIGN:
-                return k
-            if stack[k][0] in HTML_IN_FOREIGN:
-                break
-        return 0
+    def push(tag: str, node: int) -> None:
+        around = len(stack) if tag in FOREIGN else 0 if tag in HTML_IN_FOREIGN else stack[-1][2]
+        stack.append((tag, node, around))
+        count[tag] += 1
 
     at = 0
     find = TOKEN.search
@@ -141,12 +140,12 @@ def parse(html: str) -> Page:
             continue
         tag = tag.lower()
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if count[tag] else ():
                 if stack[k][0] == tag:
                     close(k)
                     break
             continue
-        around = foreign() if dropped else 0
+        around = stack[-1][2] if dropped else 0
         if around and tag in BREAKOUT:
             close(around)
             around = 0
@@ -158,14 +157,14 @@ def parse(html: str) -> Page:
             continue
         if dropped or tag in DROPPED:
             if tag in ("option", "select", "button"):  # none holds another of its kind
-                for k in range(len(stack) - 1, 0, -1):
+                for k in range(len(stack) - 1, 0, -1) if count[tag] else ():
                     if stack[k][0] == tag:
                         close(k)
                         break
                     if stack[k][0] in SCOPE or stack[k][0] in DROPPED:
                         break
             if tag not in VOID:
-                stack.append((tag, stack[-1][1]))
+                push(tag, stack[-1][1])
                 dropped += tag in DROPPED
                 links += tag == "a"
             continue
@@ -177,7 +176,7 @@ def parse(html: str) -> Page:
             continue
         if tag in BLOCK:
             flush()
-            for k in range(len(stack) - 1, 0, -1):  # an open paragraph ends where a block starts
+            for k in range(len(stack) - 1, 0, -1) if count["p"] else ():  # an open paragraph ends where a block starts
                 if stack[k][0] == "p":
                     close(k)
                     break
@@ -186,7 +185,7 @@ def parse(html: str) -> Page:
             if tag in IMPLIED_END:
                 ends, stop = IMPLIED_END[tag]
                 last = None
-                for k in range(len(stack) - 1, 0, -1):
+                for k in range(len(stack) - 1, 0, -1) if any(count[x] for x in ends) else ():
                     if stack[k][0] in stop:
                         break
                     if stack[k][0] in ends:
@@ -196,9 +195,9 @@ def parse(html: str) -> Page:
             page.tag.append(tag)
             page.parent.append(stack[-1][1])
             page.kinds.append(kinds_of(tag, m[3] or ""))
-            stack.append((tag, len(page.tag) - 1))
+            push(tag, len(page.tag) - 1)
         else:
-            stack.append((tag, stack[-1][1]))
+            push(tag, stack[-1][1])
             links += tag == "a"
     close(1)
     flush()
@@ -266,35 +265,36 @@ def features(page: Page) -> np.ndarray:
     return np.stack([np.asarray(c, np.float64) for c in columns], axis=1)
 
 
-SWITCH = 10.0  # what it costs a node to leave the choice to its children
+SWITCH = 10.0  # what it costs a node to have kept and dropped text, where no sample has set it
 
 
-def decode(page: Page, scores: np.ndarray) -> list[str]:
+def decode(page: Page, scores: np.ndarray, switch: float = SWITCH) -> list[str]:
     """Blocks of the main text, by the labelling of the whole tree with the best total score.
 
-    ``scores``: log-odds of each node that owns text. A node is kept with all
-    below it, dropped with all below it, or left open to its children at a cost; so a
-    kept node has no dropped ancestor or descendant, and the other way round.
+    ``scores``: log-odds of each node that owns text. A node is kept with all below
+    it, dropped with all below it, or left open to its children; so a kept node has no
+    dropped ancestor or descendant, and the other way round. An open node costs
+    ``switch`` if text comes to it from more than one side; one that only wraps
+    another is free.
     """
     n = len(page.tag)
-    keep = np.zeros(n)
     weight = np.zeros(n)
     for node, text, _ in page.blocks:
         weight[node] += len(text) ** 0.5
     own = scores * weight
-    keep += own  # all below kept; all dropped is its negative
+    keep = own.copy()  # all below kept; all dropped is its negative
+    sides = (weight > 0).astype(np.int64)  # where the text of a node comes from: itself, and its children
     best_open = np.zeros(n)
     choice = np.zeros(n, np.int8)  # 1 keep, -1 drop, 0 open
-    best = np.zeros(n)
     for i in range(n - 1, -1, -1):
         # its own text follows the node's score when the children decide for themselves
-        opened = best_open[i] + abs(own[i]) - SWITCH
-        best[i] = max(keep[i], -keep[i], opened)
+        opened = best_open[i] + abs(own[i]) - (switch if sides[i] > 1 else 0)
         choice[i] = 0 if opened > abs(keep[i]) + 1e-9 else (1 if keep[i] > 0 else -1)
         if i:
             p = page.parent[i]
             keep[p] += keep[i]
-            best_open[p] += best[i]
+            sides[p] += sides[i] > 0
+            best_open[p] += max(abs(keep[i]), opened)
     label = np.zeros(n, np.int8)
     for i in range(n):
         above = label[page.parent[i]] if i else 0

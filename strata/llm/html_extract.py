@@ -5,10 +5,13 @@ The model is trained on the table itself. A bounded sample of pages
 fragments: main text from <article>/<main>, and menus, adverts and footers from
 the elements that say so. From these, training pages are laid out anew with every
 wrapper either as the HTML5 element or as a container whose class or id tells its
-role, with sidebars, notices, forms and reader comments added, so that the trees
-learn densities, attribute tokens, depth and sibling statistics together and not
-one template. Nodes of main text are labelled 1, the others 0, and Spark ML's
-gradient-boosted trees are fitted on them.
+role, with sidebars, notices, forms and reader comments added, long and short menus,
+lists and tables in the article, articles of one long block and pages without any
+wrapper, so that the trees learn densities, attribute tokens, depth and sibling
+statistics together and not one template. Nodes of main text are labelled 1, the
+others 0, and Spark ML's gradient-boosted trees are fitted on them. What the decoder
+charges for mixed nodes is set on further such pages: the charge with the fewest
+wrong characters.
 
 Every page is then parsed, its nodes scored and decoded in one narrow pass: the
 labelling of the whole tree with the best total, in which no kept node hangs below
@@ -23,8 +26,10 @@ from __future__ import annotations
 
 import html as markup
 import random
+import re
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +39,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from strata.llm.dom import BAD, decode, features, parse
+from strata.llm.dom import BAD, SWITCH, Page, decode, features, parse
 
 SAMPLE_PAGES = 300
-ROUNDS, DEPTH = 12, 4
+ROUNDS, DEPTH = 20, 5
+SWITCHES = (0.0, 1.0, 2.0, 4.0, 6.0, 10.0, 15.0, 25.0, 40.0)
 MAIN = {"article", "main"}
 ASIDE = {"nav": "menu", "header": "edge", "footer": "edge", "aside": "side", "form": "form"}
 
@@ -52,6 +58,7 @@ class Trees:
     right: np.ndarray
     value: np.ndarray
     weight: np.ndarray
+    switch: float = SWITCH
 
     def log_odds(self, x: np.ndarray) -> np.ndarray:
         total = np.zeros(len(x))
@@ -132,12 +139,31 @@ def layout(rng: random.Random, main: list[list[str]], other: dict[str, list[str]
         return "".join(f"<p>{esc(t)}</p>" for t in texts)
 
     body = rng.choice(main)[:60] if main else ["text"]
+    shape = rng.random()
+    if shape < 0.12:  # one long block
+        body = [" ".join(t for _ in range(rng.randint(1, 5)) for t in rng.choice(main))] if main else body
+    elif shape < 0.25:  # a short article
+        body = body[: rng.randint(1, 3)]
+    if rng.random() < 0.06:  # a page that is its text
+        return rng.choice(["<html><body data-main>{}</body></html>", "<p data-main>{}</p>", "<body><div data-main>{}</div></body>"]).format(esc(" ".join(body)))
     blocks = []
     for k, t in enumerate(body):
-        tag = "h1" if k == 0 and rng.random() < 0.6 else rng.choice(["p"] * 12 + ["h2", "blockquote", "li", "div"])
+        tag = "h1" if k == 0 and len(body) > 1 and rng.random() < 0.6 else rng.choice(["p"] * 12 + ["h2", "blockquote", "li", "div"])
+        listed = rng.random()
+        if k and listed < 0.06:
+            items = [x for x in re.split(r"(?<=[.,;!?]) ", t) if x][:8]
+            blocks.append(rng.choice(["<ul>{}</ul>", "<ol>{}</ol>"]).format("".join(f"<li data-main>{esc(x)}</li>" for x in items)))
+            continue
+        if k and listed < 0.1:
+            cells = t.split()[:24]
+            rows_ = [cells[i : i + 3] for i in range(0, len(cells), 3)]
+            blocks.append("<table>" + "".join("<tr>" + "".join(f"<td data-main>{esc(x)}</td>" for x in r) + "</tr>" for r in rows_) + "</table>")
+            continue
         text = esc(t) if rng.random() < 0.8 else f'<a href="/x">{esc(t[: len(t) // 3])}</a>{esc(t[len(t) // 3 :])}'
         blocks.append(f"<{tag} data-main>{text}</{tag}>")
     inside = "".join(blocks)
+    if rng.random() < 0.05:  # no wrapper and nothing beside the article
+        return f"<html><head><title>t</title></head><body>{inside}</body></html>"
     if rng.random() < 0.3:
         inside = f"<div>{inside}</div>"
     extra = []
@@ -153,7 +179,7 @@ def layout(rng: random.Random, main: list[list[str]], other: dict[str, list[str]
     centre = holder.format(inside + "".join(extra) * within) + "".join(extra) * (not within)
     before = []
     if rng.random() < 0.9:
-        before.append(wrapped("menu", "nav", links(some("menu", 3, 9))))
+        before.append(wrapped("menu", "nav", links(some("menu", 3, rng.choice([9, 9, 16, 30])))))
     if rng.random() < 0.4:
         before.append(wrapped("edge", "header", esc(rng.choice(everything)[:40])))
     if rng.random() < 0.6:
@@ -174,24 +200,42 @@ def layout(rng: random.Random, main: list[list[str]], other: dict[str, list[str]
     return f"<html><head><title>t</title></head><body>{inner}</body></html>"
 
 
-def training_rows(pages: list[str], copies: int = 2, seed: int = 17) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of the text-owning nodes of the laid out pages."""
+def laid_out(pages: list[str], number: int, seed: int) -> Iterator[tuple[Page, np.ndarray]]:
+    """Pages laid out anew, and which of their blocks are main text."""
     rng = random.Random(seed)
     main, other = fragments(pages)
     if not main:
         main = [[f"Paragraph {k} of a plain article, with a sentence or two." for k in range(6)]]
-    x, y = [], []
-    for _ in range(copies * max(50, len(pages))):
+    for _ in range(number):
         html = layout(rng, main, other)
         # the mark is read from the source, then taken out, so that no feature can see it
-        page, marked = parse(html.replace(" data-main", "")), parse(_mark(html))
+        marked = parse(_mark(html))
+        yield parse(html.replace(" data-main", "")), np.array([text.startswith("⁣") for _, text, _ in marked.blocks], bool)
+
+
+def training_rows(pages: list[str], copies: int = 2, seed: int = 17) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of the text-owning nodes of the laid out pages."""
+    x, y = [], []
+    for page, main in laid_out(pages, copies * max(50, len(pages)), seed):
         rows = features(page)
-        for (node, _, _), (_, text, _) in zip(page.blocks, marked.blocks):
+        for (node, _, _), own in zip(page.blocks, main):
             x.append(rows[node])
-            y.append(text.startswith("⁣"))
+            y.append(own)
     return np.array(x), np.array(y, float)
 
 
+def calibrated(trees: Trees, pages: list[str], seed: int = 71) -> Trees:
+    """``trees`` with the switch cost that gets the fewest characters wrong on laid out pages of their own."""
+    wrong = dict.fromkeys(SWITCHES, 0)
+    for page, main in laid_out(pages, max(50, len(pages)), seed):
+        odds = trees.log_odds(features(page))
+        want = Counter(text for (_, text, _), own in zip(page.blocks, main) if own)
+        for cost in SWITCHES:
+            got = Counter(decode(page, odds, cost))
+            wrong[cost] += sum(len(t) * n for t, n in ((want - got) + (got - want)).items())
+    return replace(trees, switch=min(SWITCHES, key=lambda c: (wrong[c], c)))
+
+
 def _mark(html: str) -> str:
     """Main blocks with an invisible sign before their text."""
     parts = html.split(" data-main>")
@@ -203,12 +247,13 @@ def train(pages: DataFrame, html: str = "html", sample_pages: int = SAMPLE_PAGES
     hashed = pages.select(F.xxhash64(html).alias("k"), F.col(html).alias("h")).where("h IS NOT NULL")
     least = hashed.select("k").distinct().orderBy("k").limit(sample_pages).agg(F.max("k")).first()[0]
     sample = hashed.where(F.col("k") <= F.lit(least)).groupBy("k").agg(F.min("h").alias("h")).orderBy("k")
-    x, y = training_rows([r.h for r in sample.collect()])
+    pages_of_sample = [r.h for r in sample.collect()]
+    x, y = training_rows(pages_of_sample)
     rows = [(float(label), Vectors.dense(v)) for v, label in zip(x, y)]
     frame = pages.sparkSession.createDataFrame(rows, ["label", "features"]).coalesce(2).cache()
     try:
         model = GBTClassifier(maxIter=ROUNDS, maxDepth=DEPTH, stepSize=0.3, seed=17).fit(frame)
-        return to_arrays(model)
+        return calibrated(to_arrays(model), pages_of_sample)
     finally:
         frame.unpersist()
 
@@ -228,7 +273,7 @@ def extract(pages: DataFrame, trees: Trees, html: str = "html") -> DataFrame:
                 odds = trees.log_odds(np.concatenate(rows))
                 at = 0
                 for p, r in zip(parsed, rows):
-                    texts.append("\n".join(decode(p, odds[at : at + len(r)])))
+                    texts.append("\n".join(decode(p, odds[at : at + len(r)], trees.switch)))
                     at += len(r)
             yield pa.RecordBatch.from_arrays(
                 [b.column(i) for i in range(b.num_columns - 1)] + [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -47,7 +48,7 @@ def test_held_out_layouts(trained):
         html = html_extract.layout(rng, main, other)
         parsed, marked = dom.parse(html.replace(" data-main", "")), dom.parse(html_extract._mark(html))
         want = [t for (_, t, _), (_, m, _) in zip(parsed.blocks, marked.blocks) if m.startswith("⁣")]
-        right += dom.decode(parsed, trees.log_odds(dom.features(parsed))) == want
+        right += dom.decode(parsed, trees.log_odds(dom.features(parsed)), trees.switch) == want
     assert right >= 75
 
 
@@ -122,3 +123,79 @@ def test_stray_quotes_in_tags(html, blocks):
 ])
 def test_dropped_elements_end_where_they_do(html, blocks):
     assert [t for _, t, _ in dom.parse(html).blocks] == blocks
+
+
+@pytest.mark.parametrize("switch", [0.0, 2.0, 10.0])
+def test_decode_finds_the_best_labelling(switch):
+    """Against all labellings: kept text counts for, dropped text against; a node with text from two sides and both labels below costs."""
+    rng = random.Random(3)
+    for _ in range(150):
+        html, open_ = "", 0
+        for _ in range(rng.randint(2, 9)):
+            step = rng.random()
+            if step < 0.45:
+                html, open_ = html + "<div>", open_ + 1
+            elif step < 0.6 and open_:
+                html, open_ = html + "</div>", open_ - 1
+            html += rng.choice(["", "<p>word</p>", "some text", "<p>x</p>"])
+        page_ = dom.parse(html)
+        owners = sorted({node for node, _, _ in page_.blocks})
+        scores = np.array([rng.gauss(0, 3) for _ in page_.tag])
+        weight = np.zeros(len(page_.tag))
+        for node, text, _ in page_.blocks:
+            weight[node] += len(text) ** 0.5
+
+        def total(kept):
+            below = [set() for _ in page_.tag]
+            sides = [0] * len(page_.tag)
+            for i in range(len(page_.tag) - 1, -1, -1):
+                if i in owners:
+                    below[i].add(i in kept)
+                    sides[i] += 1
+                if i and below[i]:
+                    below[page_.parent[i]] |= below[i]
+                    sides[page_.parent[i]] += 1
+            gain = sum(scores[i] * weight[i] * (1 if i in kept else -1) for i in owners)
+            return gain - switch * sum(len(b) == 2 and s > 1 for b, s in zip(below, sides))
+
+        texts = dom.decode(page_, scores, switch)
+        choices = [{o for k, o in enumerate(owners) if bits >> k & 1} for bits in range(2 ** len(owners))]
+        mine = [c for c in choices if [t for n, t, _ in page_.blocks if n in c] == texts]
+        assert max(map(total, mine)) == pytest.approx(max(map(total, choices)))
+
+
+def test_deep_and_long_pages_take_linear_time():
+    begun = time.time()
+    for html in ("<div>" * 10_000 + "deep", "<svg>" + "<g>" * 20_000 + "</svg>one", "<div><li>" * 10_000, "<b></i></p></table>" * 20_000, "<button><div>" * 10_000):
+        dom.parse(html)
+    assert time.time() - begun < 10
+
+
+@pytest.fixture(scope="module")
+def on_the_table(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").union(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
+    return html_extract.train(pages)
+
+
+def extracted(trees, html):
+    parsed = dom.parse(html)
+    return dom.decode(parsed, trees.log_odds(dom.features(parsed)), trees.switch)
+
+
+def prose(n, seed=5):
+    rng = random.Random(seed)
+    return " ".join(" ".join(rng.choice(WORDS) for _ in range(rng.randint(6, 14))).capitalize() + "." for _ in range(n))
+
+
+@pytest.mark.parametrize("html,want", [
+    (f"<p>{prose(12)}</p>", [prose(12)]),
+    (prose(20), [prose(20)]),
+    (f"<p>{prose(3000)}</p>", [prose(3000)]),
+    (f"<article><p>{prose(5)}</p><ul><li>{prose(1, 8)}</li><li>{prose(1, 9)}</li></ul><p>{prose(4, 6)}</p></article>", [prose(5), prose(1, 8), prose(1, 9), prose(4, 6)]),
+    (f"<article><p>{prose(5)}</p><table><tr><td>river</td><td>stone</td></tr></table><p>{prose(4, 6)}</p></article>", [prose(5), "river", "stone", prose(4, 6)]),
+    ("<nav><ul>" + "".join(f'<li><a href="/{w}">{w}</a></li>' for w in WORDS) + f"</ul></nav><article><h1>Title</h1><p>{prose(2)}</p><p>{prose(2, 6)}</p></article><footer>(c) 2024</footer>",
+     ["Title", prose(2), prose(2, 6)]),
+    ("<div>" * 10 + f"<article><p>{prose(6)}</p><p>{prose(6, 7)}</p></article><footer>(c) 2024</footer>", [prose(6), prose(6, 7)]),
+], ids=["one paragraph", "plain text", "long paragraph", "list", "table", "long menu", "ten wrappers"])
+def test_probes(on_the_table, html, want):
+    assert extracted(on_the_table, html) == want
