@@ -6,13 +6,17 @@ the submission domain and the anomaly code; ``props`` is the raw payload.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ids import stable_id
 from ..functions.json import has_key
 from ..operators import alerts, events, marts
-from .registry import query
+from ..session import ensure_checkpoint_dir, shared_scratch
+from ..streaming import stateful
+from .registry import ORACLES, query
 from .tables import event_facts, money, table
 
 # Fixed analog mapping: event type -> (domain, anomaly code); signup carries no code.
@@ -174,6 +178,35 @@ def event_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_LIFECYCLE_SQL = ORACLES["event_lifecycle"]
+
+
+@query("event_lifecycle_stream", _LIFECYCLE_SQL)
+def event_lifecycle_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two runs of ``event_lifecycle`` as a stream of actions through keyed state, four batches."""
+    r = registry(spark, sf_dir)
+    second = F.unix_micros(F.lit(RUN_2_AT).cast("timestamp"))
+    old = r.filter(F.col("ts") < F.lit(EXISTING_BEFORE).cast("timestamp_ntz")).withColumn("at", F.unix_micros(F.col("ts").cast("timestamp")))
+    new = r.filter(F.col("ts") >= F.lit(INCOMING_FROM).cast("timestamp_ntz")).withColumn("at", second)
+
+    def actions(rows: DataFrame, action: str, run: str | None) -> DataFrame:
+        return rows.select(
+            "event_fingerprint", "at", F.lit(int(action == "review")).cast("long").alias("seq"), F.lit(action).alias("action"),
+            (F.col("status") if action == "review" else F.lit(None).cast("string")).alias("status"),
+            "domain", "event_code", "severity", "report_period", F.lit(run).cast("string").alias("run_id"))
+
+    ensure_checkpoint_dir(spark)
+    root = shared_scratch(spark, f"lifecycle-{uuid.uuid4().hex[:12]}")
+    half = F.pmod(F.xxhash64("event_fingerprint"), F.lit(2))
+    batches = [actions(old, "seen", RUN_1), actions(old.where("status <> 'open'"), "review", None)]
+    batches += [actions(new.where(half == k), "seen", RUN_2) for k in (0, 1)]
+    for k, rows in enumerate(batches):  # a folder a run, as a run would leave it
+        rows.write.parquet(f"{root}/actions/run{k}")
+        out = stateful.run_registry(spark, f"{root}/actions", root)
+    time = lambda c: F.timestamp_micros(c).cast("timestamp_ntz").alias(c)
+    return out.select("event_fingerprint", "domain", "event_code", "status", time("detected_at"), time("resolved_at"), F.col("run_id").alias("detected_by_run_id"))
+
+
 def threshold_table(spark: SparkSession) -> DataFrame:
     configured = alerts.thresholds_df(spark, CONFIGURED_THRESHOLDS)
     return alerts.ensure_thresholds(configured, alerts.thresholds_df(spark))
