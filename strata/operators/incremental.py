@@ -5,9 +5,10 @@ and averages is a sum of signed rows: each replaced fact is retracted, each
 incoming one inserted. Only these signed rows are aggregated; the sums per
 batch, mart key and period go to a log, and a mart row is the sum of its log
 rows. Averages are kept as a sum and a count. Shares of a period's total are
-made anew for touched periods. Facts, log and mart are partitioned by period,
-the touched periods of a batch are listed first (months, so a bounded list)
-and reach every scan as a partition filter: other periods are not read.
+made anew for touched periods. Facts and mart are partitioned by period, log
+and staging folders by batch. The touched periods of a batch are listed first
+(months, so a bounded list) and reach the scans as a partition filter (facts) or
+a pushed filter on sorted rows (log): other periods are not read.
 
 A batch has four steps: its log rows, the merged facts of touched periods in a
 staging folder, their swap into the facts, the refresh of the mart. The first two
@@ -121,14 +122,18 @@ class IncrementalMart:
 
     def _write(self, df: DataFrame, name: str, swap: bool = False) -> None:
         """Writes a folder anew, with its success marker, or (``swap``) replaces the periods that ``df`` holds."""
-        rows = df.hint("rebalance", self.spec.period).write.mode("overwrite").partitionBy(self.spec.period)
-        rows.option("partitionOverwriteMode", "dynamic" if swap else "static").parquet(f"{self.root}/{name}")
+        period, path = self.spec.period, f"{self.root}/{name}"
+        if swap:
+            rows = df.hint("rebalance", period).write.mode("overwrite").partitionBy(period)
+            rows.option("partitionOverwriteMode", "dynamic").parquet(path)
+        else:
+            df.sortWithinPartitions(period).write.mode("overwrite").parquet(path)
 
     def log(self, schema: T.StructType, periods: Sequence[str]) -> DataFrame:
         """Log rows of the given periods from all finished batches."""
         found = self.fs.get_file_info(pafs.FileSelector(f"{self.base}/log", allow_not_found=True))
         done = [i.base_name for i in found if self._is(f"log/{i.base_name}/_SUCCESS")]
-        rows = self.spark.read.schema(schema).option("basePath", f"{self.root}/log").parquet(*[f"{self.root}/log/{n}" for n in done])
+        rows = self.spark.read.schema(schema).parquet(*[f"{self.root}/log/{n}" for n in done])
         return rows.where(F.col(self.spec.period).isin(list(periods)))
 
     def apply(self, batch: str, incoming: DataFrame) -> list[str]:
