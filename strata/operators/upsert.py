@@ -13,8 +13,10 @@ key holding a third of the batch does not land whole in one task.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,13 +93,11 @@ def upsert_table(
     checkpoint area first, so a lost executor or a failed write never leaves
     the target half-overwritten by a plan that is still reading it.
     """
-    from py4j.protocol import Py4JJavaError  # local: only needed for the probe
-
     try:
         existing = spark.read.parquet(path)
         exists = True
-    except Exception as exc:  # path missing on first load
-        if not isinstance(exc, (Py4JJavaError,)) and "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+    except AnalysisException as exc:  # first load
+        if exc.getCondition() != "PATH_NOT_FOUND":
             raise
         exists = False
 
@@ -111,7 +111,7 @@ def upsert_table(
         touched = incoming.select(partition_by).distinct()
         existing = existing.join(touched, partition_by, "left_semi")
     merged = merge(existing, incoming, keys, null_safe, order, preserve)
-    staging = shared_scratch(spark, f"stage-{stage_name or abs(hash((path, tuple(keys))))}-{id(incoming)}")
+    staging = shared_scratch(spark, f"stage-{stage_name or 'upsert'}-{uuid.uuid4().hex}")
     writer = merged.write.mode("overwrite")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(staging)
     staged = spark.read.parquet(staging)

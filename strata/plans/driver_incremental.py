@@ -1,4 +1,4 @@
-"""Marts kept by deltas over loads of the driver tables."""
+"""Marts kept by deltas, tests counted by a mart's own write, staging views; over the driver tables."""
 
 from __future__ import annotations
 
@@ -7,12 +7,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import marts
+from ..operators import dq, marts
 from ..operators.incremental import IncrementalMart, MartSpec
 from ..session import ensure_checkpoint_dir, shared_scratch
-from .driver_queries import _ORDER_FACTS_SQL
+from ..sources.sinks import staging_view
+from .driver_queries import _CUST_SQL, _ORDER_FACTS_SQL
 from .registry import avg_sql, pct_sql, query
-from .tables import order_facts
+from .tables import customers, money, order_facts, table
 
 LOADS = ("01-10", "11-20", "21-31")  # days of the month: each load touches every month
 LATEST_KEY = ["report_period", "operator_id", "service_segment", "o_orderpriority"]
@@ -53,3 +54,78 @@ def incremental_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.mart().select(
         "report_period", "operator_id", "latest_orders", F.col("latest_revenue").cast("decimal(38,2)").alias("latest_revenue"),
         F.col("avg_price").cast("decimal(22,6)").alias("avg_price"), "revenue_share_pct")
+
+
+# --- D01-D04 counted by the write -------------------------------------------------------
+
+TESTED_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE")  # two of the five are not accepted
+
+_STANDING_SQL = f"""
+  WITH u AS (SELECT o_custkey, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS urgent_revenue
+             FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey),
+  c AS (SELECT c.*, CAST(x.c_acctbal AS DECIMAL(18,2)) AS balance FROM ({_CUST_SQL}) c JOIN customer x USING (c_custkey)),
+  t AS (SELECT operator_id, service_segment, SUM(balance) AS total FROM c GROUP BY ALL)
+  SELECT c.*, u.urgent_revenue, CASE WHEN total = 0 THEN 0 ELSE round(CAST(balance AS DOUBLE) / CAST(total AS DOUBLE) * 100, 4) END AS balance_share_pct
+  FROM c JOIN t USING (operator_id, service_segment) LEFT JOIN u ON c_custkey = o_custkey
+"""
+
+
+@query(
+    "observed_tests",
+    f"""
+WITH s AS ({_STANDING_SQL}),
+r AS (
+  SELECT 'not_null' AS test, 'operator_id' AS column_name, COUNT(*) FILTER (WHERE operator_id IS NULL) AS failures FROM s
+  UNION ALL SELECT 'not_null', 'urgent_revenue', COUNT(*) FILTER (WHERE urgent_revenue IS NULL) FROM s
+  UNION ALL SELECT 'accepted_values', 'service_segment', COUNT(*) FILTER (WHERE service_segment NOT IN {TESTED_SEGMENTS}) FROM s
+  UNION ALL SELECT 'share_bounds', '', COUNT(*) FILTER (WHERE balance_share_pct < 0 OR balance_share_pct > 100) FROM s
+  UNION ALL SELECT 'balance_nonnegative', '', COUNT(*) FILTER (WHERE balance < 0) FROM s
+  UNION ALL SELECT 'urgent_revenue_nonnegative', '', COUNT(*) FILTER (WHERE urgent_revenue < 0) FROM s)
+SELECT 'customer_standing' AS table_name, test, column_name, CAST(failures AS BIGINT) AS failures,
+       CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM r
+""",
+)
+def observed_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart of customers (balance, its share, revenue of urgent orders), tested by the write that stores it."""
+    ensure_checkpoint_dir(spark)
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority", "o_totalprice").where("o_orderpriority = '1-URGENT'")
+    urgent = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.sum(money("o_totalprice")).alias("urgent_revenue"))
+    cust = customers(spark, sf_dir).select("c_custkey", "operator_id", "service_segment", money("c_acctbal").alias("balance"))
+    share = marts.add_shares(cust, ["operator_id", "service_segment"], {"balance": "balance_share_pct"}, cast_to={"balance": "decimal(22,2)"})
+    return dq.write_tested(
+        share.join(urgent, "c_custkey", "left"),
+        shared_scratch(spark, f"standing-{uuid.uuid4().hex[:12]}/customer_standing"),
+        "customer_standing",
+        not_null=["operator_id", "urgent_revenue"],
+        accepted={"service_segment": TESTED_SEGMENTS},
+        failing={
+            "share_bounds": (F.col("balance_share_pct") < 0) | (F.col("balance_share_pct") > 100),
+            "balance_nonnegative": F.col("balance") < 0,
+            "urgent_revenue_nonnegative": F.col("urgent_revenue") < 0,
+        },
+    )
+
+
+# --- S22 ----------------------------------------------------------------------------------
+
+
+@query(
+    "staging_subscribers",
+    f"""
+SELECT o_orderkey AS silver_id, CAST(o_orderkey AS VARCHAR) AS bronze_id, operator_id, service_segment, o_orderpriority AS service_category,
+       report_period, region_code, 1 AS total_subscribers, CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END AS active_subscribers_30d,
+       o_totalprice AS arpu_xaf, CAST(o_orderdate AS DATE) AS submitted_at, CAST(o_orderdate AS DATE) AS bronze_loaded_at,
+       last_day(CAST(o_orderdate AS DATE)) AS silver_loaded_at
+FROM ({_ORDER_FACTS_SQL})
+""",
+)
+def staging_subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The subscribers view over orders in silver form, whose other columns it leaves out."""
+    f = order_facts(spark, sf_dir)
+    day = F.col("o_orderdate").cast("date")
+    silver = f.withColumns({
+        "silver_id": F.col("o_orderkey"), "bronze_id": F.col("o_orderkey").cast("string"), "service_category": F.col("o_orderpriority"),
+        "payment_type": F.col("o_orderstatus"), "technology": F.col("o_orderpriority"), "total_subscribers": F.lit(1),
+        "active_subscribers_30d": F.when(F.col("o_orderstatus") == "O", 1).otherwise(0), "arpu_xaf": F.col("o_totalprice"),
+        "submitted_at": day, "bronze_loaded_at": day, "silver_loaded_at": F.last_day(day)})
+    return staging_view(silver, "subscribers")
