@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import dq, marts
 from ..operators.incremental import IncrementalMart, MartSpec
+from ..operators.key_sketch import KeySketch, absent
 from ..session import ensure_checkpoint_dir, shared_scratch
 from ..sources.sinks import staging_view
 from .driver_queries import _CUST_SQL, _ORDER_FACTS_SQL
@@ -129,3 +130,32 @@ def staging_subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "active_subscribers_30d": F.when(F.col("o_orderstatus") == "O", 1).otherwise(0), "arpu_xaf": F.col("o_totalprice"),
         "submitted_at": day, "bronze_loaded_at": day, "silver_loaded_at": F.last_day(day)})
     return staging_view(silver, "subscribers")
+
+
+# --- V02, J06, S10: keys against a growing set --------------------------------------------------
+
+LAST_YEAR = "1998-01-01"
+SKETCH_KEYS = 10_000_000  # layout for so many keys: 12.5 MB of bitmaps
+
+
+@query(
+    "first_seen_keys",
+    f"""
+SELECT CAST(o_custkey AS BIGINT) AS o_custkey, o_orderpriority, COUNT(*) AS orders
+FROM orders o WHERE o_orderdate >= DATE '{LAST_YEAR}'
+  AND NOT EXISTS (SELECT 1 FROM orders b WHERE b.o_orderdate < DATE '{LAST_YEAR}' AND b.o_custkey = o.o_custkey AND b.o_orderpriority = o.o_orderpriority)
+GROUP BY ALL
+""",
+)
+def first_seen_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(customer, priority) pairs of the last year that no earlier order has, by a sketch of the earlier
+    pairs that two loads filled, then the exact anti join for what the sketch lets through."""
+    keys = ["o_custkey", "o_orderpriority"]
+    orders = table(spark, sf_dir, "orders").select(*keys, "o_orderdate").withColumn("o_custkey", F.col("o_custkey").cast("bigint"))
+    early = orders.where(F.col("o_orderdate") < F.lit("1995-01-01").cast("date"))
+    later = orders.where((F.col("o_orderdate") >= F.lit("1995-01-01").cast("date")) & (F.col("o_orderdate") < F.lit(LAST_YEAR).cast("date")))
+    layout = KeySketch(SKETCH_KEYS)
+    sketch = layout.merge(layout.build(early.select(*keys)), layout.build(later.select(*keys)))
+    known = orders.where(F.col("o_orderdate") < F.lit(LAST_YEAR).cast("date")).select(*keys)
+    new = absent(orders.where(F.col("o_orderdate") >= F.lit(LAST_YEAR).cast("date")).select(*keys), keys, known, layout, sketch)
+    return new.groupBy(*keys).agg(F.count("*").alias("orders"))
