@@ -4,6 +4,10 @@ Every line of a text is judged by punctuation, navigation and boilerplate
 rules; failing lines are removed; a document that loses too large a share of
 its words is rejected. Document-level base counts come with the verdict.
 
+Most rules know no language: symbols, separators, lines of punctuation alone, repeats of
+an earlier line, lines that are mostly links, and menus, which are runs of short
+lines without an end of sentence. Two lists of English phrases come on top.
+
 Defined cases: null or empty text has no words, fails the base check and is not
 kept; repeated rows get one row each; other columns of the input pass through
 untouched, and those named like an output column are dropped.
@@ -11,6 +15,7 @@ untouched, and those named like an output column are dropped.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,6 +34,12 @@ NAVIGATION = frozenset((b"home", b"next", b"previous", b"menu", b"login", b"log
 BOILERPLATE = (b"all rights reserved", b"terms of use", b"terms of service", b"privacy policy", b"cookie policy",
                b"accept cookies", b"we use cookies", b"javascript is disabled", b"enable javascript", b"lorem ipsum",
                b"powered by", b"(c) copyright")
+# Marks that end a sentence or a part of one, marks that may close it, beginnings of links.
+STOPS = ".!?:;,…。"
+CLOSERS = "\"')’”»"
+LINKS = (b"http://", b"https://", b"www.")
+_either = lambda marks: "|".join(map(re.escape, marks)).encode()
+ENDS = re.compile(b"(?:" + _either(STOPS) + b")(?:" + _either(CLOSERS) + b")*\\Z")
 
 
 @dataclass(frozen=True)
@@ -37,6 +48,9 @@ class LineRules:
 
     symbol_share: float = 0.10  # symbols per character from which a line fails
     max_separators: int = 3  # so many ' | ' or ' > ' make a navigation bar
+    max_link_share: float = 0.50  # share of a line's words that may be links
+    menu_words: int = 4  # a line of at most so many words that ends no sentence may be a menu's
+    menu_lines: int = 4  # so many of them, one after the other, are a menu
     max_lost_share: float = 0.30  # share of words in failed lines above which a document goes
     min_words: int = 50
     repeat_share: int = 50  # per cent of words in repeated 3-word windows above which a document goes
@@ -78,26 +92,45 @@ def line_fails(line: bytes, rules: LineRules) -> bool:
         return True
     if not any(c > 127 or chr(c).isalnum() for c in body):  # punctuation only
         return True
+    words = body.split()
+    if sum(w.startswith(LINKS) for w in words) > rules.max_link_share * len(words):
+        return True
     low = body.lower()
     return low.strip(b" .!:>|-") in NAVIGATION or any(p in low for p in BOILERPLATE)
 
 
+def menu_lines(lines: list[bytes], sizes: list[int], rules: LineRules) -> set[int]:
+    """Numbers of the lines in menus: ``rules.menu_lines`` or more short lines that end no sentence, blank lines aside."""
+    found: set[int] = set()
+    run: list[int] = []
+    for i, n in enumerate([*sizes, -1]):
+        if 0 < n <= rules.menu_words and not ENDS.search(lines[i].rstrip()):
+            run.append(i)
+        elif n:  # another line with words, or the end
+            if len(run) >= rules.menu_lines:
+                found.update(run)
+            run = []
+    return found
+
+
 def judge(text: bytes, rules: LineRules) -> tuple[dict[str, int], bytes]:
     """Counts over the whole text and the text left when failing lines are removed.
 
-    A line fails by ``line_fails`` or as a repeat of an earlier line of the text.
+    A line fails by ``line_fails``, as a part of a menu or as a repeat of an earlier line of the text.
     """
     words = text.split()
+    lines = text.split(b"\n")
+    sizes = [len(line.split()) for line in lines]
+    menu = menu_lines(lines, sizes, rules)
     kept_lines, seen, dup, lost = [], set(), 0, 0
-    for line in text.split(b"\n"):
-        n = len(line.split())
+    for i, (line, n) in enumerate(zip(lines, sizes)):
         if not n:
             kept_lines.append(line)
             continue
         repeat = line in seen
         dup += repeat
         seen.add(line)
-        if repeat or line_fails(line, rules):
+        if repeat or i in menu or line_fails(line, rules):
             lost += n
         else:
             kept_lines.append(line)
@@ -149,6 +182,7 @@ def _sql_list(values) -> str:
 def oracle_sql(rules: LineRules = LineRules()) -> str:
     """The same verdicts in DuckDB SQL over the view ``documents``."""
     sep = " + ".join(f"(strlen(body) - strlen(replace(body, '{s.decode()}', ''))) // {len(s)}" for s in SEPARATORS)
+    links = "|".join(re.escape(x.decode()) for x in LINKS)
     symbols = "len(regexp_extract_all({}, '[#*$%&|<>]'))"
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
@@ -159,12 +193,17 @@ g AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, word, w2, w3) AS n FROM t
 r AS (SELECT rid, count(DISTINCT i + k) AS n_repeat_words FROM g CROSS JOIN (VALUES (0), (1), (2)) s(k) WHERE n > 1 GROUP BY rid),
 sp AS (SELECT rid, string_split(text, chr(10)) AS ls FROM d),
 l0 AS (SELECT rid, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM sp),
-l1 AS (SELECT rid, line, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS body,
+l1 AS (SELECT rid, i, line, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS body,
               len(regexp_extract_all(line, '{WORD}')) AS n, row_number() OVER (PARTITION BY rid, line ORDER BY i) AS nth FROM l0),
-l2 AS (SELECT *, nth > 1 AS again, nth > 1 OR {symbols.format('body')} > {rules.symbol_share} * strlen(body)
+s0 AS (SELECT *, n <= {rules.menu_words} AND NOT regexp_matches(body, '[{STOPS}][{CLOSERS.replace("'", "''")}]*$') AS short,
+              row_number() OVER (PARTITION BY rid ORDER BY i) AS place FROM l1 WHERE n > 0),
+s1 AS (SELECT *, place - row_number() OVER (PARTITION BY rid, short ORDER BY i) AS run FROM s0),
+s2 AS (SELECT *, short AND count(*) OVER (PARTITION BY rid, short, run) >= {rules.menu_lines} AS menu FROM s1),
+l2 AS (SELECT *, nth > 1 AS again, nth > 1 OR menu OR {symbols.format('body')} > {rules.symbol_share} * strlen(body)
               OR {sep} >= {rules.max_separators} OR NOT regexp_matches(body, '[0-9A-Za-z]|[^\\x00-\\x7F]')
+              OR len(regexp_extract_all(body, '(^|[\\x20\\x09-\\x0D])({links})')) > {rules.max_link_share} * n
               OR trim(lower(body), ' .!:>|-') IN ({_sql_list(NAVIGATION)})
-              OR {' OR '.join(f"contains(lower(body), '{p.decode()}')" for p in BOILERPLATE)} AS fails FROM l1 WHERE n > 0),
+              OR {' OR '.join(f"contains(lower(body), '{p.decode()}')" for p in BOILERPLATE)} AS fails FROM s2),
 l AS (SELECT rid, count(*) FILTER (WHERE again) AS n_dup_lines, coalesce(sum(n) FILTER (WHERE fails), 0) AS lost FROM l2 GROUP BY rid),
 c AS (SELECT d.rid, doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
              {symbols.format('text')} AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,

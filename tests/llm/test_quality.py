@@ -60,6 +60,43 @@ def test_failed_lines_go_and_heavy_losses_reject(spark):
     assert not out[2].kept and not out[2].base_failed
 
 
+MENUS = [
+    ("Startseite\nÜber uns\n\nKontakt\nImpressum\nDer Satz hier ist lang und bleibt stehen", {0, 1, 3, 4}),  # blank lines aside
+    ("Accueil\nPlan du site\nNous contacter\nLa ligne finit ici.\nSuite", set()),  # three lines are no menu
+    ("a\nb.\nc\nd\ne", set()),
+    ("Roses are red,\nViolets are blue,\nSugar is sweet,\nAnd so are you.", set()),
+    ("uno\ndos »\ntres”\ncuatro", {0, 1, 2, 3}), ("uno\ndos.»\ntres\ncuatro\ncinco…\nseis", set()), ("", set())]
+
+
+@pytest.mark.parametrize("text,menu", MENUS)
+def test_menus(text, menu):
+    lines = text.encode().split(b"\n")
+    assert quality.menu_lines(lines, [len(x.split()) for x in lines], quality.LineRules()) == menu
+
+
+def test_link_lines():
+    fails = lambda t: quality.line_fails(t.encode(), quality.LineRules())
+    assert fails("http://a.b/c") and fails("siehe https://a.de www.b.de") and not fails("siehe https://a.de") and not fails("mehr auf seite www.b.de heute")
+
+
+def test_verdicts_equal_sql_on_random_lines(spark):
+    import duckdb
+    import pandas as pd
+
+    rng = random.Random(11)
+    pool = ["Inicio", "Sobre nosotros", "Kontakt »", "Der Hund schläft heute lange im Garten.", "www.a.b", "siehe http://x.y z", "Ja.”", "…", "Home", "", "  ",
+            "a | b | c | d", "Mehr dazu später:", "eins zwei drei vier", "eins zwei drei vier fünf", "\tMenü\r", "$$$", "we use cookies"]
+    docs = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randint(0, 40)))) for i in range(300)]
+    docs += [(i, "\n".join([*(f"Wort{k} steht{k} in{k} Satz{k} nummer{k}." for k in range(rng.randint(11, 20))), *rng.sample(pool, rng.randint(1, 18))])) for i in range(300, 600)]
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(docs, columns=["doc_id", "text"]))
+    rel = con.sql(quality.oracle_sql())
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    got = quality.line_first(spark.createDataFrame(docs, SCHEMA)).select(*names).collect()
+    assert rel.columns == names and sorted(map(tuple, got)) == sorted(rel.fetchall())
+    assert 0 < sum(r.kept for r in got) < 300
+
+
 def test_repeat_words_in_texts_with_many_words():
     words = [b"%d" % (k % 2_100_000) for k in range(2_100_000 + 10)]
     assert quality.repeat_words(words) == 20
