@@ -87,7 +87,10 @@ def test_verdicts_equal_sql_on_random_lines(spark):
     pool = ["Inicio", "Sobre nosotros", "Kontakt »", "Der Hund schläft heute lange im Garten.", "www.a.b", "siehe http://x.y z", "Ja.”", "…", "Home", "", "  ",
             "a | b | c | d", "Mehr dazu später:", "eins zwei drei vier", "eins zwei drei vier fünf", "\tMenü\r", "$$$", "we use cookies"]
     docs = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randint(0, 40)))) for i in range(300)]
-    docs += [(i, "\n".join([*(f"Wort{k} steht{k} in{k} Satz{k} nummer{k}." for k in range(rng.randint(11, 20))), *rng.sample(pool, rng.randint(1, 18))])) for i in range(300, 600)]
+    for i in range(300, 600):
+        prose = [f"Wort{k} steht{k} in{k} Satz{k} nummer{k}." for k in range(rng.randint(11, 20))]
+        links = [f"http://x.y/{k} www.z.de/{k} hier{k}" for k in range(rng.randint(0, 25))]
+        docs.append((i, "\n".join([*prose, *rng.sample(pool, rng.randint(1, 18)), *links])))
     con = duckdb.connect()
     con.register("documents", pd.DataFrame(docs, columns=["doc_id", "text"]))
     rel = con.sql(quality.oracle_sql())
