@@ -358,3 +358,9 @@ SELECT report_period, TIMESTAMP '{at}' AS validation_started_at, TIMESTAMP '{at}
        CASE WHEN bad > 0 THEN 'attention' WHEN events > 0 THEN 'watch' ELSE 'healthy' END AS run_health
 FROM m LEFT JOIN e USING (report_period)
 """
+
+
+URBAN_MOBILE = f"""
+SELECT CASE WHEN region_code IN ('BZV', 'PNR') THEN 'urban' ELSE 'south' END AS area, region_code, operator_id, COUNT(*) AS customers
+FROM ({_CUSTOMERS}) WHERE operator_id IN ('OPA01', 'OPA02') AND region_code IN ('BZV', 'PNR', 'BOU', 'LEK', 'NIA') GROUP BY ALL
+"""
