@@ -59,3 +59,17 @@ def test_empty_one_class_and_extra_columns(spark):
     one = spark.createDataFrame([("http://a.net/x", "mine", 1)], "url string, verdict string, other long")
     r = urls.filter_urls(one, URL_RULES).collect()[0]
     assert (r.verdict, r.other, r.threshold) == ("block", 1, 0.0)
+
+
+def test_no_table_is_broadcast(spark, monkeypatch):
+    """Small files may hold tables that are large in memory: no join may send one through the driver."""
+    plans, save = [], urls.Scratch.save
+
+    def seen(self, df, *args):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return save(self, df, *args)
+
+    monkeypatch.setattr(urls.Scratch, "save", seen)
+    out = urls.filter_urls(spark.createDataFrame([(i, u) for i, u in enumerate(table_of())], "page_id long, url string"), URL_RULES)
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)
