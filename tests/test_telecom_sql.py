@@ -13,7 +13,7 @@ from test_domain_rules import AS_OF, _schema, clean
 
 from strata.domains import telecom as tc
 from strata.operators.validate import CODES, validate_pack
-from strata.plans import medallion
+from strata.plans import medallion, telecom_bronze
 from strata.plans import telecom_sql as sql
 from strata.sources import ingest as ing
 
@@ -81,3 +81,22 @@ def test_lines_with_one_number_keep_their_own_ids(spark):
     values = F.struct("source_submission_id", "_source_file", *tc.DOMAIN_DEFS["traffic_internet"].business_names)
     n = rows.agg(F.countDistinct("source_submission_id").alias("numbers"), F.countDistinct("bronze_id").alias("ids"), F.countDistinct(values).alias("rows")).first()
     assert n.numbers < n.ids == n.rows
+
+
+def test_accepted_rows_share_their_joins_and_are_not_shuffled(spark):
+    facts = telecom_bronze.Facts(spark, SF_SMALL)
+    rows = medallion.accepted(spark, SF_SMALL, "traffic_sms", facts=facts)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "lineitem" not in plan
+    assert facts.lines().inputFiles() and facts.lines() is facts.lines()
+
+
+def test_numbers_of_their_own_type_need_no_check(spark):
+    d = tc.DOMAIN_DEFS["traffic_sms"]
+    names = d.required_csv_columns
+    base = dict.fromkeys(names) | {"operator_id": "OPA01", "report_period": "2025-03", "region_code": "BZV", "service_segment": "mobile", "_raw_payload": "{}"}
+    rows = [("a", {}), ("b", {"operator_id": "OPA02"}), ("c", {names[5]: str(2**63)}), ("d", {names[5]: "-9223372036854775808"})]
+    df = spark.createDataFrame([(k, [(base | more)[c] for c in names]) for k, more in rows], "drop string, fields array<string>").select(
+        "*", F.array(*[F.lit(i + 1) for i in range(len(names))]).alias("positions"), F.lit("OPA01").alias("k_operator_id"), F.lit("mobile").alias("k_service_segment"))
+    refused = lambda *sure: sorted(r["drop"] for r in ing.refused_groups(df, d, ["drop"], *sure).collect())
+    assert refused() == ["b", "c"] and refused({names[5]}) == ["b"]
