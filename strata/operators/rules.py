@@ -29,10 +29,15 @@ class Rule:
 
 
 def compile_codes(rules: Sequence[Rule]) -> Column:
-    """``array_compact(array(when(p1, c1), when(p2, c2), ...))`` in rule order."""
+    """The codes ``c1, c2, ...`` whose predicates hold, in rule order.
+
+    Arrays of one code or none, flattened: ``array_compact`` has no generated code, and
+    with it every predicate below would be interpreted, row by row.
+    """
+    none = F.array().cast("array<string>")
     if not rules:
-        return F.array().cast("array<string>")
-    return F.array_compact(F.array(*[F.when(r.predicate, F.lit(r.code)) for r in rules]))
+        return none
+    return F.flatten(F.array(*[F.when(r.predicate, F.array(F.lit(r.code))).otherwise(none) for r in rules]))
 
 
 def codes_text(codes: str | Column, sep: str = ", ") -> Column:
