@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ids import stable_id
+from ..session import small_table
 
 # Default thresholds and routing policy.
 DEFAULT_THRESHOLDS = (
@@ -26,7 +27,7 @@ THRESHOLD_SCHEMA = "domain string, severity string, event_count_threshold int, e
 
 
 def thresholds_df(spark: SparkSession, rows=DEFAULT_THRESHOLDS) -> DataFrame:
-    df = spark.createDataFrame(list(rows), THRESHOLD_SCHEMA)
+    df = small_table(spark, list(rows), THRESHOLD_SCHEMA)
     return df.select(stable_id(F.lit("threshold"), "domain", "severity").alias("threshold_id"), "*")
 
 
@@ -62,7 +63,7 @@ def evaluate_alerts(thresholds: DataFrame, events: DataFrame, period: str | None
 
 
 def routing_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(ROUTING), "severity string, primary_owner string, secondary_owner string")
+    return small_table(spark, list(ROUTING), "severity string, primary_owner string, secondary_owner string")
 
 
 def route_alerts(alerts: DataFrame, routing: DataFrame) -> DataFrame:
