@@ -64,6 +64,19 @@ def test_production_windows(spark):
     assert got(substring.digest(docs)) == brute.op4(rows, 35)
 
 
+@pytest.mark.parametrize("size", [399, 400])
+def test_a_passage_of_60_words_goes_from_400_bytes_on(spark, size):
+    """What was removed stands in n_removed; n_bytes is the whole text's length, removed or not."""
+    rng = random.Random(6)
+    word = lambda k: "".join(rng.choice("abcdefg") for _ in range(k))
+    passage = " ".join([*[word(5) for _ in range(59)], word(size - 59 * 6)])
+    rows = [(1, f"{word(9)}1{passage}2{word(9)}"), (2, f"{word(30)}3{passage}4{word(5)}"), (3, word(size))]
+    assert len(passage) == size and len(passage.split()) == 60
+    out = got(suffix_array.digest(spark.createDataFrame(rows, SCHEMA)))
+    assert out == brute.op8(rows, 400)
+    assert [(r[1], r[2]) for r in out] == [(len(t), size if size == 400 and d < 3 else 0) for d, t in rows]
+
+
 def test_long_text_is_cut_in_overlapping_pieces(monkeypatch):
     rng = random.Random(9)
     text = " ".join(rng.choice(["a", "bb", "ccc", "dddd"]) for _ in range(3000)).encode()
