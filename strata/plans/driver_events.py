@@ -201,7 +201,7 @@ def event_lifecycle_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     batches = [actions(old, "seen", RUN_1), actions(old.where("status <> 'open'"), "review", None)]
     batches += [actions(new.where(half == k), "seen", RUN_2) for k in (0, 1)]
     for k, rows in enumerate(batches):  # a folder a run, as a run would leave it
-        rows.write.parquet(f"{root}/actions/run{k}")
+        rows.write.option("compression", "zstd").parquet(f"{root}/actions/run{k}")
         out = stateful.run_registry(spark, f"{root}/actions", root)
     time = lambda c: F.timestamp_micros(c).cast("timestamp_ntz").alias(c)
     return out.select("event_fingerprint", "domain", "event_code", "status", time("detected_at"), time("resolved_at"), F.col("run_id").alias("detected_by_run_id"))
